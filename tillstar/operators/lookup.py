@@ -11,18 +11,25 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure whether `df` is small enough to copy to every executor.
+def small_enough(
+    frames: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> set[str]:
+    """Names of the frames that are small enough to copy to every executor, measured in one job.
 
-    Reads at most max_rows + 1 rows. Strings count by length, other values as 8 bytes.
+    Each frame is one partial aggregate. Strings count by length, other values as 8 bytes.
     """
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8)
-        for f in df.schema.fields
-    ]
-    width = reduce(lambda a, b: a + b, sizes).cast("bigint")
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+
+    def size_of(name: str, df: DataFrame) -> DataFrame:
+        sizes = [
+            F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8)
+            for f in df.schema.fields
+        ]
+        width = reduce(lambda a, b: a + b, sizes).cast("bigint")
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).withColumn("name", F.lit(name))
+
+    measured = reduce(DataFrame.union, [size_of(name, df) for name, df in frames.items()])
+    fits = (F.col("rows") <= max_rows) & (F.coalesce("bytes", F.lit(0)) <= max_bytes)
+    return {row["name"] for row in measured.filter(fits).collect()}
 
 
 def lookup(
@@ -33,19 +40,19 @@ def lookup(
     how: str = "left",
     null_safe: tuple[str, ...] = (),
     between: tuple[str, str, str] | None = None,
-    bounded: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add the columns `take` of `dim` to `left`, matched on left column -> dim column.
 
     `between=(date, from, until)` adds the half-open test from <= date < until.
-    The dimension is broadcast when it is `bounded` by construction or measured
-    small; otherwise both sides shuffle on the key and adaptive execution splits
-    the partitions of hot keys.
+    The dimension is broadcast when it is known or (with `small` left open)
+    measured to be small; otherwise both sides shuffle on the key and adaptive
+    execution splits the partitions of hot keys.
     """
     take = take if isinstance(take, dict) else {c: c for c in take}
     needed = {*on.values(), *take, *(between[1:] if between else ())}
     side = dim.select(*[F.col(c).alias(f"_d_{c}") for c in sorted(needed)])
-    if bounded or fits_broadcast(side):
+    if small_enough({"side": side}) if small is None else small:
         side = F.broadcast(side)
 
     def match(l: str, d: str) -> Column:
@@ -62,17 +69,17 @@ def lookup(
 
 def join_date(df: DataFrame, dim_date: DataFrame, how: str = "left", date_col: str = "transaction_date") -> DataFrame:
     """A calendar holds some 366 rows a year, so it is always broadcast."""
-    return lookup(df, dim_date, {date_col: "full_date"}, ["date_key"], how, bounded=True)
+    return lookup(df, dim_date, {date_col: "full_date"}, ["date_key"], how, small=True)
 
 
-def join_category(df: DataFrame, dim_category: DataFrame, how: str = "left") -> DataFrame:
-    return lookup(df, dim_category, {"merchant_category": "category_name"}, ["category_key"], how)
+def join_category(df: DataFrame, dim_category: DataFrame, how: str = "left", small: bool | None = None) -> DataFrame:
+    return lookup(df, dim_category, {"merchant_category": "category_name"}, ["category_key"], how, small=small)
 
 
-def join_merchant_current(df: DataFrame, dim_merchant: DataFrame, how: str = "left") -> DataFrame:
+def join_merchant_current(df: DataFrame, dim_merchant: DataFrame, how: str = "left", small: bool | None = None) -> DataFrame:
     """Key of the merchant's open version; the dimension is filtered before the join."""
     current = dim_merchant.filter("is_current")
-    return lookup(df, current, {"normalized_merchant": "merchant_name"}, ["merchant_key"], how)
+    return lookup(df, current, {"normalized_merchant": "merchant_name"}, ["merchant_key"], how, small=small)
 
 
 def join_merchant_composite(
@@ -83,13 +90,17 @@ def join_merchant_composite(
     return lookup(df, dim_merchant, on, ["merchant_key"], how)
 
 
-def join_card(df: DataFrame, dim_card: DataFrame, how: str = "left") -> DataFrame:
+def join_card(df: DataFrame, dim_card: DataFrame, how: str = "left", small: bool | None = None) -> DataFrame:
     """Card by its whole natural key; number alone would multiply rows when cards share one."""
     cols = ["card_number", "card_type", "card_company"]
-    return lookup(df, dim_card, {c: c for c in cols}, ["card_key"], how, null_safe=("card_type", "card_company"))
+    return lookup(
+        df, dim_card, {c: c for c in cols}, ["card_key"], how, null_safe=("card_type", "card_company"), small=small
+    )
 
 
-def join_merchant_asof(df: DataFrame, dim_merchant: DataFrame, date_col: str = "transaction_date") -> DataFrame:
+def join_merchant_asof(
+    df: DataFrame, dim_merchant: DataFrame, date_col: str = "transaction_date", small: bool | None = None
+) -> DataFrame:
     """Merchant version that was in force on the row's date."""
     return lookup(
         df,
@@ -97,6 +108,7 @@ def join_merchant_asof(df: DataFrame, dim_merchant: DataFrame, date_col: str = "
         {"normalized_merchant": "merchant_name"},
         {"merchant_key": "merchant_key", "merchant_category": "category_then"},
         between=(date_col, "effective_date", "expiration_date"),
+        small=small,
     )
 
 

@@ -14,7 +14,7 @@ from tillstar.operators.keys import assert_unique, dense_key, max_key
 from tillstar.operators.lookup import join_category, join_date, join_merchant_composite
 from tillstar.operators.merge import newer_than, upsert, upsert_slices
 from tillstar.plans.dimensions import dim_card, dim_category, dim_date_covering, dim_merchant
-from tillstar.plans.fact import fact_transactions
+from tillstar.plans.fact import LOOKUPS, fact_transactions, small_dimensions
 from tillstar.plans.layers import KEY, build_bronze, build_silver
 from tillstar.sources.tables import (
     materialize,
@@ -65,13 +65,16 @@ def run_full(
     silver = read_table(spark, f"{out}/silver")
 
     dims = build_dimensions(silver, out, as_of, calendar)
+    small = small_dimensions(dims)
     target = read_snapshot(spark, f"{out}/fact_transactions")
     if target is None:
-        fact = fact_transactions(silver, dims)
+        fact = fact_transactions(silver, dims, small=small)
     else:
-        source = fact_transactions(silver, dims, start=max_key(target, "transaction_key"))
+        source = fact_transactions(silver, dims, start=max_key(target, "transaction_key"), small=small)
         fact = upsert(target, source, KEY, check=False)  # silver holds one row per transaction
-    write_version(fact, f"{out}/fact_transactions", MONTHS)
+    # Without an upsert or a shuffled lookup, the rows keep the monthly layout of silver.
+    clustered = target is None and small.issuperset(LOOKUPS)
+    write_version(fact, f"{out}/fact_transactions", MONTHS, clustered)
     return load_star(spark, out)
 
 

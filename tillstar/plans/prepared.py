@@ -31,6 +31,7 @@ class Prepared:
         self.spark = spark
         self.folder = folder
         self._paths: dict[str, str] = {}
+        self._frames: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Prepared:
@@ -46,10 +47,12 @@ class Prepared:
             partitions = MONTHS if name in ("bronze", "silver", "fact_transactions") else ()
             write_table(self._build(name), path, partitions)
             self._paths[name] = path
+            self._frames[name] = read_table(self.spark, path)
         return path
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name))
+        self.path(name)
+        return self._frames[name]
 
     def _build(self, name: str) -> DataFrame:
         if name == "raw":

@@ -73,14 +73,16 @@ def write_table(
     partitions: tuple[str, ...] = (),
     mode: str = "overwrite",
     codec: str | None = None,
+    clustered: bool = False,
 ) -> None:
     """Full (`overwrite`) or additive (`append`) write, partitioned by columns.
 
     The rebalance hint gathers each partition value into few files and lets
     adaptive execution split a value that holds much of the data, so neither a
-    file per task and month nor one task for a hot month arises.
+    file per task and month nor one task for a hot month arises. Rows that come
+    `clustered`, straight from a scan with the same partitions, skip its shuffle.
     """
-    if partitions:
+    if partitions and not clustered:
         df = df.hint("rebalance", *partitions)
     writer = df.write.mode(mode)
     if mode == "overwrite":
@@ -125,11 +127,11 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(v for v in found if is_complete(spark, f"{base}/version={v}"))
 
 
-def write_version(df: DataFrame, base: str, partitions: tuple[str, ...] = ()) -> int:
+def write_version(df: DataFrame, base: str, partitions: tuple[str, ...] = (), clustered: bool = False) -> int:
     """Write `df` as the next immutable version; `df` may read any earlier one."""
     spark = df.sparkSession
     version = max(versions(spark, base), default=0) + 1
-    write_table(df, f"{base}/version={version}", partitions)
+    write_table(df, f"{base}/version={version}", partitions, clustered=clustered)
     return version
 
 
