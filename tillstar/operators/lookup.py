@@ -121,5 +121,5 @@ def detect_changes(source: DataFrame, target: DataFrame, key: str, attrs: list[s
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str | None = None) -> DataFrame:
     """Fact rows whose foreign key is NULL or has no member."""
-    known = dim.select(F.col(pk or fk).alias(fk)).distinct()
+    known = dim.select(F.col(pk or fk).alias(fk))
     return fact.join(known, fk, "left_anti")

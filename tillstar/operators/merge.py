@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.keys import content_key
 from tillstar.operators.keys import assert_unique
+from tillstar.operators.lookup import small_enough
 from tillstar.sources.tables import materialize, read_table, replace_slices
 
 OPEN_END = date(9999, 12, 31)
@@ -27,11 +28,20 @@ def scd1_insert(target: DataFrame, source: DataFrame, key: list[str], with_keys)
     return target.unionByName(with_keys(new))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
-    """Every source row, and the target rows whose key the source does not have."""
+def upsert(
+    target: DataFrame, source: DataFrame, keys: list[str], check: bool = True, small: bool | None = None
+) -> DataFrame:
+    """Every source row, and the target rows whose key the source does not have.
+
+    When the source's keys are known or measured to be small, they are
+    broadcast and the target does not shuffle.
+    """
     if check:
         assert_unique(source, keys, "upsert source")
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    incoming = source.select(*keys)
+    if small_enough({"keys": incoming}) if small is None else small:
+        incoming = F.broadcast(incoming)
+    return target.join(incoming, keys, "left_anti").unionByName(source)
 
 
 # --- type 2 dimensions ------------------------------------------------------------------------

@@ -640,6 +640,12 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_first_copy(loose)}) LEFT JOIN dim_date ON transaction_date = full_date""",
         "dim_date", double=_AMOUNT,
     )
+    sql["bld_9_one_pass_row_keys"] = _with(
+        f"""SELECT date_key, {year_month}, transaction_id, amount, 1 AS quantity,
+                   merchant_name IS NOT NULL AS has_merchant_key
+            FROM ({_first_copy(loose)}) LEFT JOIN dim_date ON transaction_date = full_date""",
+        "dim_date", double=_AMOUNT,
+    )
     sql["bld_10_hash_mart"] = _with(
         f"""SELECT transaction_id, {year_month}, category_key, merchant_key, amount FROM {_MART_ROWS}
             JOIN (SELECT merchant_category, row_number() OVER (ORDER BY merchant_category) AS category_key

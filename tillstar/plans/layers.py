@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.clean import REQUIRED, filter_valid, select_silver, with_silver_columns
+from tillstar.operators.clean import REQUIRED, SILVER_COLUMNS, filter_valid, select_silver, with_silver_columns
 from tillstar.operators.dedup import dedup_window
 from tillstar.sources.tables import with_lineage, with_year_month
 
@@ -28,11 +28,12 @@ def build_silver(
 
     Filtering first (the default) keeps a transaction whose copies are partly
     invalid; deduplicating first can lose it. Bronze columns that silver does
-    not keep are dropped before the shuffle. `processed_at` names a column to
-    use in place of the current time.
+    not keep are not read. `processed_at` names a column to use in place of the
+    current time.
     """
     stamp = F.col(processed_at) if processed_at else F.current_timestamp()
-    rows = bronze.drop("ingestion_timestamp", "source_file", "year", "month")
+    kept = [c for c in bronze.columns if c in SILVER_COLUMNS or c == processed_at]
+    rows = bronze.select(*[c for c in kept if c not in ("year", "month")])
     rows = dedup(filter_valid(rows, required), KEY, ["transaction_date"]) if filter_first else filter_valid(
         dedup(rows, KEY, ["transaction_date"]), required
     )

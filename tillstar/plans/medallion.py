@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.functions.keys import content_key_if_known
+from tillstar.functions.keys import if_known, row_key
 from tillstar.operators.clean import filter_valid, members
 from tillstar.operators.dedup import dedup_hash, dedup_window
 from tillstar.operators.keys import assert_unique, dense_key, max_key
@@ -71,7 +71,7 @@ def run_full(
         fact = fact_transactions(silver, dims, small=small)
     else:
         source = fact_transactions(silver, dims, start=max_key(target, "transaction_key"), small=small)
-        fact = upsert(target, source, KEY, check=False)  # silver holds one row per transaction
+        fact = upsert(target, source, KEY, check=False, small=False)  # silver: one row per transaction
     # Without an upsert or a shuffled lookup, the rows keep the monthly layout of silver.
     clustered = target is None and small.issuperset(LOOKUPS)
     write_version(fact, f"{out}/fact_transactions", MONTHS, clustered)
@@ -104,20 +104,21 @@ def run_incremental(spark: SparkSession, out: str, as_of: date) -> None:
     upsert_slices(spark, path, source, KEY, MONTHS, keys_can_move=False)
 
 
-def run_one_pass(raw: DataFrame, dim_date: DataFrame) -> DataFrame:
+def run_one_pass(raw: DataFrame, dim_date: DataFrame, key=row_key) -> DataFrame:
     """Raw feed to fact in one lineage with a single shuffle.
 
     Category and merchant keys come from the row's own content, so no
     dimension has to be built first or joined. Merchants keep their raw names.
     """
-    rows = dedup_window(filter_valid(raw, ("transaction_date",)), KEY, ["transaction_date"])
+    columns = ["transaction_id", "transaction_date", "merchant_name", "merchant_category", "amount"]
+    rows = dedup_window(filter_valid(raw.select(*columns), ("transaction_date",)), KEY, ["transaction_date"])
     return join_date(with_year_month(rows), dim_date).select(
         F.monotonically_increasing_id().alias("transaction_key"),
         "date_key",
         "year",
         "month",
-        content_key_if_known(F.col("merchant_category")).alias("category_key"),
-        content_key_if_known(F.col("merchant_name"), F.col("merchant_category")).alias("merchant_key"),
+        if_known(key, F.col("merchant_category")).alias("category_key"),
+        if_known(key, F.col("merchant_name"), F.col("merchant_category")).alias("merchant_key"),
         "transaction_id",
         "amount",
         F.lit(1).alias("quantity"),

@@ -718,7 +718,16 @@ def bld_8_second_run(p):
 
 @query
 def bld_9_one_pass(p):
-    return medallion.run_one_pass(p.raw, p.table("dim_date")).drop("created_at", "transaction_key")
+    fact_rows = medallion.run_one_pass(p.raw, p.table("dim_date"), key=content_key)
+    return fact_rows.drop("created_at", "transaction_key")
+
+
+@query
+def bld_9_one_pass_row_keys(p):
+    """With the default keys, whose values only Spark computes; which rows have one is compared."""
+    known = F.col("merchant_key").isNotNull().alias("has_merchant_key")
+    fact_rows = medallion.run_one_pass(p.raw, p.table("dim_date"))
+    return fact_rows.select("date_key", "year", "month", "transaction_id", "amount", "quantity", known)
 
 
 @query
