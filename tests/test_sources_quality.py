@@ -53,6 +53,16 @@ def test_compaction_gives_disjoint_ranges(spark, tmp_path):
     assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
 
 
+def test_compaction_splits_a_hot_key(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    hot = F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id"))
+    spark.range(6000).select(hot.alias("k"), F.col("id").alias("v")).write.parquet(source)
+    tables.compact(spark, source, target, ("k",), 6)
+    sizes = tables.read_table(spark, target).groupBy(F.col("_metadata.file_name").alias("f")).count().collect()
+    assert sum(r["count"] for r in sizes) == 6000
+    assert max(r["count"] for r in sizes) < 2000
+
+
 def test_conform_reports_lost_and_missing_fields(spark, rows):
     feed = spark.createDataFrame(
         [("1", "2024-02-30", "Cafe", "12.345"), ("2", "2024-02-29", None, "x")],

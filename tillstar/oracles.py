@@ -398,6 +398,11 @@ def oracle_sql() -> dict[str, str]:
         "silver", double=_AMOUNT,
     )
 
+    sql["str_1_stream_ingest"] = _with(
+        f"SELECT transaction_id, transaction_date, amount, {year_month}, true AS has_source FROM raw_txn",
+        "raw_txn", double=_AMOUNT, text=_DAY,
+    )
+
     # projections, filters, scalars
     sql["prj_1_valid"] = _with(f"SELECT {_PLAIN} FROM valid", "valid", double=_AMOUNT, text=_DAY)
     sql["prj_1_valid_without_merchant"] = _with(

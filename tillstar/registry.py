@@ -17,6 +17,7 @@ from tillstar.operators import clean, dedup, keys, lookup, merge, quality
 from tillstar.plans import dimensions, fact, layers, medallion, reports
 from tillstar.plans.prepared import FIRST_LOAD, MONTHS, Prepared
 from tillstar.sources import card_feed, generator, schemas, tables
+from tillstar.streaming import ingest
 
 CUT = date(2001, 1, 1)
 OVERLAP = date(2000, 10, 1)
@@ -292,6 +293,18 @@ def src_18_rebuild_slice(p):
     return tables.read_table(p.spark, path)
 
 
+@query
+def str_1_stream_ingest(p):
+    """The raw files taken in by a stream, twice; the second call finds nothing new."""
+    bronze, checkpoint = _scratch(p, "stream_bronze"), _scratch(p, "stream_checkpoint")
+    for _ in range(2):
+        ingest.ingest_new_files(p.spark, p.path("raw"), p.raw.schema, bronze, checkpoint)
+    taken = tables.read_table(p.spark, bronze)
+    return taken.select(
+        "transaction_id", "transaction_date", "amount", "year", "month", F.col("source_file").isNotNull().alias("has_source")
+    )
+
+
 # --- projections, filters, scalars ------------------------------------------------------------
 
 

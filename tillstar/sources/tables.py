@@ -174,14 +174,15 @@ def rebuild_slice(source: DataFrame, transform, path: str, period, partitions=("
 
 
 def compact(spark: SparkSession, source: str, target: str, keys: tuple[str, ...], files: int) -> None:
-    """Rewrite a table into at most `files` files with disjoint key ranges.
+    """Rewrite a table into at most `files` files of about equal size, each a range of the keys.
 
-    Parquet row-group minima and maxima then let scans skip files. A key value
-    that fills several ranges needs a further column in `keys` to be split.
+    Parquet row-group minima and maxima then let scans skip files. The row's
+    hash comes last in the range order, so a key value that holds much of the
+    table fills several files instead of one.
     """
+    df = read_table(spark, source)
     (
-        read_table(spark, source)
-        .repartitionByRange(files, *keys)
+        df.repartitionByRange(files, *keys, F.xxhash64(*df.columns))
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .parquet(target)
