@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.functions.keys import row_key
 from tillstar.functions.text import category_level, normalize_merchant, transaction_type
 from tillstar.sources.tables import with_year_month
 
@@ -86,6 +87,6 @@ def with_holidays(dim_date: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
-def sample_for_checks(df: DataFrame, fraction: float, key: str = "transaction_id") -> DataFrame:
+def sample_for_checks(df: DataFrame, fraction: float, key: str = "transaction_id", digest=row_key) -> DataFrame:
     """A repeatable share of the keys, the same under every partitioning; all copies of a key together."""
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(10000)) < int(fraction * 10000))
+    return df.filter(F.pmod(digest(F.col(key)), F.lit(10_000)) < round(fraction * 10_000))

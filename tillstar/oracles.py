@@ -384,9 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "suppliers", double=_AMOUNT, text=_DAY,
     )
     sql["src_15_catalog_filter"] = _with(f"SELECT * FROM ({catalog}) WHERE category = 'ASIA'", "suppliers")
-    sql["src_16_compact"] = _with(
-        f"{raw_rows} WHERE transaction_date >= DATE '2001-01-01'", "raw_txn", double=_AMOUNT, text=_DAY
-    )
+    sql["src_16_compact"] = sql["src_1_scan_raw"]
     sql["src_17_snapshot"] = _with(
         f"""SELECT 'earlier' AS snapshot, count(*) AS row_count, {_sum()} AS amount FROM silver WHERE {old}
             UNION ALL SELECT 'latest', count(*), {_sum()} FROM silver""",
@@ -462,6 +460,10 @@ def oracle_sql() -> dict[str, str]:
         "raw_txn", text=_DAY,
     )
 
+    sql["prj_13_sample"] = _with(
+        f"SELECT transaction_id, amount FROM silver WHERE {_key('transaction_id')} % 10000 < 100", "silver", double=_AMOUNT
+    )
+
     # deduplication
     sql["ded_1_any"] = _with("SELECT DISTINCT transaction_id FROM valid", "valid")
     kept = f"SELECT * REPLACE ({_STAMP} AS created_at) FROM kept"

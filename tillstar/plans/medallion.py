@@ -58,7 +58,11 @@ def build_dimensions(
 def run_full(
     spark: SparkSession, raw_path: str, out: str, as_of: date, calendar: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Raw feed to bronze, silver, dimensions and fact under `out`; a second run merges into the first."""
+    """Raw feed to bronze, silver, dimensions and fact under `out`; a second run merges into the first.
+
+    The fact's `created_at` is silver's processing time, so its maximum tells
+    an incremental run exactly which silver rows the fact has seen.
+    """
     write_table(build_bronze(read_table(spark, raw_path)), f"{out}/bronze", MONTHS)
     bronze = read_table(spark, f"{out}/bronze")
     write_table(build_silver(bronze), f"{out}/silver", MONTHS)
@@ -68,9 +72,10 @@ def run_full(
     small = small_dimensions(dims)
     target = read_snapshot(spark, f"{out}/fact_transactions")
     if target is None:
-        fact = fact_transactions(silver, dims, small=small)
+        fact = fact_transactions(silver, dims, created_at="processed_at", small=small)
     else:
-        source = fact_transactions(silver, dims, start=max_key(target, "transaction_key"), small=small)
+        start = max_key(target, "transaction_key")
+        source = fact_transactions(silver, dims, start=start, created_at="processed_at", small=small)
         fact = upsert(target, source, KEY, check=False, small=False)  # silver: one row per transaction
     # Without an upsert or a shuffled lookup, the rows keep the monthly layout of silver.
     clustered = target is None and small.issuperset(LOOKUPS)
@@ -100,7 +105,7 @@ def run_incremental(spark: SparkSession, out: str, as_of: date) -> None:
         newer_than(silver, fact.select(F.col("created_at").alias("processed_at")), "processed_at"), "fresh"
     )
     dims = build_dimensions(fresh, out, as_of, load_dimensions(spark, out).get("dim_date"))
-    source = fact_transactions(fresh, dims, start=max_key(fact, "transaction_key"))
+    source = fact_transactions(fresh, dims, start=max_key(fact, "transaction_key"), created_at="processed_at")
     upsert_slices(spark, path, source, KEY, MONTHS, keys_can_move=False)
 
 

@@ -265,7 +265,7 @@ def src_15_catalog_filter(p):
 def src_16_compact(p):
     path = _scratch(p, "clustered")
     tables.compact(p.spark, p.path("raw"), path, ("transaction_date", "transaction_id"), 8)
-    return tables.read_table(p.spark, path).filter(F.col("transaction_date") >= CUT)
+    return tables.read_table(p.spark, path)
 
 
 @query
@@ -399,7 +399,7 @@ def prj_12_day_type(p):
 
 @query
 def prj_13_sample(p):
-    return clean.sample_for_checks(p.silver.select("transaction_id", "amount"), 0.01)
+    return clean.sample_for_checks(p.silver.select("transaction_id", "amount"), 0.01, digest=content_key)
 
 
 # --- deduplication ----------------------------------------------------------------------------
