@@ -63,6 +63,30 @@ def test_shuffled_lookup_of_a_hot_key_equals_the_broadcast_one(spark, rows, how)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_hot_key_is_split_when_the_dimension_is_too_large_to_broadcast(spark):
+    """Thresholds scaled down to the test's size; the cluster's own apply there."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+        facts = spark.range(0, 200_000, 1, 16).select(F.md5(F.col("id").cast("string")).alias("t"), hot.alias("k"))
+        dim = spark.range(200_000).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("v"))
+        joined = lookup.lookup(facts, dim, {"k": "dk"}, ["v"], small=False)
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_broadcast_is_measured(spark):
     wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
     frames = {"wide": wide, "empty": wide.limit(0)}
