@@ -143,6 +143,8 @@ def test_a_missing_column_fails_once_and_skips_its_rules(spark):
 def test_empty_layers_pass(spark):
     found = _results(quality.run_checks(spark.createDataFrame([], BRONZE), "bronze", quality.bronze_checks()))
     assert all(passed for _, passed in found.values())
+    found = _results(quality.run_checks(spark.createDataFrame([], "amount int"), "bronze", quality.bronze_checks()))
+    assert found[("required_column", "transaction_id")] == (1, False)
 
 
 def test_allowed_values_count_null_as_bad(spark):

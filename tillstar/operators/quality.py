@@ -110,23 +110,24 @@ def run_checks(df: DataFrame, layer: str, checks: list[Check]) -> DataFrame:
 
     scanned = [c for c in checks if c.name != "unique" and (c.bad is None or c.column in types)]
     if scanned:
-        failed = []
-        for check in scanned:
+        counts = [F.count_if(c.bad).alias(f"_{i}") for i, c in enumerate(scanned) if c.bad is not None]
+        # The row count keeps one row when all rules concern the schema only.
+        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
+        rows = []
+        for i, check in enumerate(scanned):
             if check.bad is not None:
-                failed.append(F.coalesce(F.count_if(check.bad), F.lit(0)))
+                failed = F.col(f"_{i}")
             elif check.name == "column_type":
-                failed.append(F.max(F.lit(int(types.get(check.column) != check.dtype))))
+                failed = F.lit(int(types.get(check.column) != check.dtype))
             else:
-                failed.append(F.max(F.lit(int(check.column not in types))))
-        totals = df.agg(*[f.alias(f"_{i}") for i, f in enumerate(failed)])
-        rows = [
-            F.struct(
-                F.lit(c.name).alias("check_name"),
-                F.lit(c.column).alias("column_name"),
-                F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("failed_rows"),
+                failed = F.lit(int(check.column not in types))
+            rows.append(
+                F.struct(
+                    F.lit(check.name).alias("check_name"),
+                    F.lit(check.column).alias("column_name"),
+                    failed.cast("bigint").alias("failed_rows"),
+                )
             )
-            for i, c in enumerate(scanned)
-        ]
         frames.append(totals.select(F.inline(F.array(*rows))))
 
     for check in checks:

@@ -41,7 +41,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, DateType):
             col = col.cast("string")
         elif isinstance(f.dataType, (TimestampNTZType, TimestampType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            col = col.cast("string").substr(1, 19)
         cols.append(col.alias(f.name))
     return df.select(*cols)
 
@@ -127,13 +127,15 @@ def src_7_sql_views(p):
     tables.register_views(p.tables)
     return p.spark.sql(
         """
-        SELECT d.year, d.month_name, c.level_1 AS category,
-               CAST(SUM(f.amount) AS DECIMAL(25,2)) AS total_amount
-        FROM fact_transactions f
-        JOIN dim_date d ON f.date_key = d.date_key
-        JOIN dim_category c ON f.category_key = c.category_key
-        GROUP BY d.year, d.month, d.month_name, c.level_1
-        ORDER BY d.year, d.month, total_amount DESC
+        WITH spend AS (
+          SELECT date_key, category_key, sum(amount) AS day_amount
+          FROM fact_transactions
+          GROUP BY date_key, category_key
+        )
+        SELECT year, month_name, level_1 AS category, CAST(sum(day_amount) AS DECIMAL(25,2)) AS total_amount
+        FROM spend JOIN dim_date USING (date_key) JOIN dim_category USING (category_key)
+        GROUP BY year, month, month_name, level_1
+        ORDER BY year, month, total_amount DESC, category
         """
     )
 
@@ -169,7 +171,7 @@ def src_9_conform_card(p):
         "card_number",
         "card_type",
         "card_company",
-        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+        F.col("created_at").cast("string").alias("created_at"),
     )
     fitted = schemas.conform(text, schemas.CARD_TRANSACTION, "lost_fields")
     return fitted.withColumn("lost_fields", F.array_join("lost_fields", ","))
