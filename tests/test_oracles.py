@@ -4,6 +4,8 @@ import __spark_entry__ as entry_points
 import pytest
 from compare import compare, database
 
+from tillstar import registry
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -12,7 +14,7 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, con, name):
     good, note = compare(spark, con, name, FOLDER)
     assert good, note
@@ -23,7 +25,7 @@ def test_every_oracle_has_a_query():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) <= set(entry_points.oracle_sql())
+    assert set(registry.queries()) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
