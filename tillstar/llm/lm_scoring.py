@@ -2,7 +2,8 @@
 
 Training texts (all but the held-out fold) are counted in one pass: words for a
 unigram base, and byte contexts of `ORDER` bytes with the byte that follows.
-Shorter contexts are sums of the longest, so a context's symbols are always
+A shorter context counts in how many longer ones its symbol was seen, the
+symbols it would have to tell after an escape. A context's symbols are always
 among its suffix's; this lets the exclusion sums be held per context. The trie
 keeps every context-symbol pair seen at least 2^b times, with the least b that
 leaves at most `max_nodes` pairs, which bounds what is broadcast at any corpus
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import mix, scratch_root, signed, strings, words_of
 
 ORDER = 5
-MAX_NODES = 1_500_000
+MAX_NODES = 3_000_000
 FREQUENT = 200_000
 FOLDS = 5
 HELD_OUT = 1
@@ -133,7 +134,7 @@ class Table:
     FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def __init__(self, keys: np.ndarray):
-        size = 1 << max(4, (4 * max(1, len(keys)) - 1).bit_length())
+        size = 1 << max(4, (2 * max(1, len(keys)) - 1).bit_length())
         self.mask = np.uint64(size - 1)
         self.keys = np.full(size, self.FREE, dtype=np.uint64)
         self.place = np.full(size, -1, dtype=np.int32)
@@ -237,35 +238,52 @@ class Trie:
         return out
 
 
-def build_trie(contexts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> Trie:
-    """The trie of all orders from the counts of the longest contexts, with at most `max_nodes` pairs."""
+def trie_rows(contexts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Level, code and count of the trie's pairs, at most `max_nodes` of them, from the counts of the longest contexts."""
+    spark = contexts.sparkSession
     levels = None
     for j in range(order + 1):
         mask = (1 << 8 * (j + 1)) - 1
         one = contexts.select(F.lit(j).alias("level"), F.col("code").bitwiseAND(F.lit(mask)).alias("code"), "n")
         levels = one if levels is None else levels.unionAll(one)
     levels = levels.groupBy("level", "code").agg(F.sum("n").alias("n"))
-    levels = levels.withColumn("power", F.floor(F.log2("n")).cast("int"))
-    path = f"{scratch_root(contexts.sparkSession)}/levels-{uuid.uuid4().hex}"
-    levels.write.parquet(path)
-    levels = contexts.sparkSession.read.schema(levels.schema).parquet(path)
+    path = f"{scratch_root(spark)}/levels-{uuid.uuid4().hex}"
+    levels.withColumn("power", F.floor(F.log2("n")).cast("int")).write.parquet(path)
+    levels = spark.read.schema("level int, code long, n long, power int").parquet(path)
     kept, least = 0, 0
     for row in sorted(levels.groupBy("power").count().collect(), key=lambda r: -r["power"]):  # at most 63 rows
         if kept + row["count"] > max_nodes:
             least = row["power"] + 1
             break
         kept += row["count"]
-    got = levels.filter(F.col("power") >= least).select("level", "code", "n").toArrow()
-    return Trie(
-        order, got.column("level").to_numpy().astype(np.int64), got.column("code").to_numpy().astype(np.int64).view(np.uint64), got.column("n").to_numpy()
+    shorter = F.expr("code & (shiftleft(1L, 8 * level) - 1)").alias("code")
+    within = levels.filter("level > 0").select((F.col("level") - 1).alias("level"), shorter).groupBy("level", "code").agg(F.count("*").alias("kinds"))
+    both = levels.filter(F.col("power") >= least).join(within, ["level", "code"], "left")
+    got = both.select("level", "code", F.coalesce("kinds", "n").alias("n")).toArrow()
+    return (
+        got.column("level").to_numpy().astype(np.uint8),
+        got.column("code").to_numpy().astype(np.int64).view(np.uint64),
+        got.column("n").to_numpy().astype(np.int64),
     )
 
 
+_tries: dict[str, Trie] = {}
+
+
+def trie_of(name: str, order: int, rows) -> Trie:
+    """The trie of these rows, built once in each worker process, which keeps the latest."""
+    if name not in _tries:
+        _tries.clear()
+        _tries[name] = Trie(order, *rows)
+    return _tries[name]
+
+
 def score_documents(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     spark = docs.sparkSession
     words, contexts = count_corpus(docs, order)
-    trie = spark.sparkContext.broadcast(build_trie(contexts, order, max_nodes))
+    rows = spark.sparkContext.broadcast(trie_rows(contexts, order, max_nodes))
+    name = uuid.uuid4().hex
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     train_tokens, rest = sums["n"], math.log10(sums["n"] + 0.5 * (sums["v"] + 1))
     common = words.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
@@ -277,7 +295,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NO
     )
 
     def over(batches):
-        get, model = known.value, trie.value
+        get, model = known.value, trie_of(name, order, rows.value)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -285,7 +303,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NO
                 ids = strings(part.column("doc_id"))
                 texts = [_bytes_of(t) for t in strings(part.column("text"))]
                 scores = model.scores(texts)
-                docs_out, rare_out, rows = [], [], []
+                docs_out, rare_out, numbers = [], [], []
                 for doc_id, text, score in zip(ids, texts, scores.tolist()):
                     own = text.split()
                     own.append(END)
@@ -303,11 +321,11 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NO
                         }
                     )
                     rare_out.append([{"word": None, "times": 0}, *({"word": w, "times": n} for w, n in rare.items())])
-                    rows.append(row)
+                    numbers.append(row)
                     row += 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows, pa.int64()),
+                        pa.array(numbers, pa.int64()),
                         pa.array(
                             docs_out,
                             pa.struct(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import lm_scoring, lz_fingerprint, packing, topk
+from tillstar.llm import license_scan, lm_scoring, lz_fingerprint, mixing, near_duplicates, packing, quality, substring_dedup, topk, warc
 from tillstar.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,24 +41,57 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve(warc.records_of_pages(table(spark, sf_dir, "pages")))
+    return resolved.withColumn("headers", warc.header_lines(F.col("headers")))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("row.doc_id", "junk", "toxic", "rejected")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(table(spark, sf_dir, "documents"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), places=True)
+    return mixed.select("doc_id", "source", "epoch", "block", "tokens", "mix_at")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
+        "op2_warc_revisits": op2_warc_revisits,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_quality_classifier": op4_quality_classifier,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_document_fingerprints": op6_document_fingerprints,
+        "op7_temperature_mixing": op7_temperature_mixing,
+        "op8_license_scan": op8_license_scan,
         "op9_exact_topk": op9_exact_topk,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
