@@ -10,8 +10,8 @@ labels trains a logistic scorer over hashed words and text statistics; it then
 scores every text, and so also catches what no labeller knows.
 
 Two toxic labellers learn their words from labelled texts, at most about
-`sample` of them: words of at least `min_texts` toxic texts and of a tenth of
-these, that are much commoner there than in the others.
+`sample` of them: words of at least `min_texts` toxic texts of a language and
+of a tenth of these, that are much commoner there than in its other texts.
 
 Defined results: a null or empty text has no words, every labeller abstains,
 and it is kept; repeated rows are scored alike; without labels the learned
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import mapped, strings, words_of
+from tillstar.llm.common import mapped, staged, strings, words_of
 
 SAMPLE = 20_000
 BUCKETS = 1 << 18
@@ -95,14 +95,14 @@ def votes(f: Facts) -> dict[str, list[int]]:
         ],
         "toxic": [
             _band(f.insults, 1, 0.5),
-            _band(f.learned, 1, 0.5),
+            _band(f.learned, 1, 1.5),
             _band(f.bad_kinds, 1, 1.5),
             _band((f.insults + f.learned) / f.n, 0.0005, 0.004),
         ],
     }
 
 
-def fit_em(patterns: dict[tuple[int, ...], int], rounds: int = 100, prior: float = 0.1, false_alarms: float = 0.005) -> tuple[float, np.ndarray]:
+def fit_em(patterns: dict[tuple[int, ...], int], rounds: int = 100, prior: float = 0.1, false_alarms: float = 0.001) -> tuple[float, np.ndarray]:
     """Share of rejects, and P(vote | class) as [labeller, class, vote + 1]; class 1 is reject.
 
     Starts from labellers that are mostly right, and smooths every count by one.
@@ -142,12 +142,12 @@ def posterior(keys: np.ndarray, prior: float, p: np.ndarray) -> np.ndarray:
 def features(f: Facts) -> np.ndarray:
     """Buckets of the distinct words, and of text statistics by size."""
     words = np.fromiter((xxhash.xxh3_64_intdigest(w) % BUCKETS for w in f.kinds), dtype=np.int64, count=len(f.kinds))
-    sizes = (f.signs * 50, f.bare_signs * 50, f.runs * 50, f.repeats * 8, f.width / 6, f.loops * 20, f.shout * 8)
+    sizes = (f.signs * 50, f.bare_signs * 50, f.runs * 50, f.repeats * 8, f.width / 6, f.loops * 20, f.shout * 8, f.bad_kinds)
     stats = [BUCKETS + i * STATS + min(STATS - 1, int(x)) for i, x in enumerate(sizes)]
     return np.unique(np.concatenate([words, stats])).astype(np.int32)
 
 
-WIDTH = BUCKETS + 7 * STATS
+WIDTH = BUCKETS + 8 * STATS
 
 
 def train(rows: list[np.ndarray], targets: np.ndarray, rounds: int = 150, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -186,23 +186,23 @@ def learn_words(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE,
         return frozenset()
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = _sampled(known, known.count(), sample)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most about `sample` rows
+    chosen = docs.join(F.broadcast(known), "doc_id")  # at most about `sample` rows
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
-        for text, toxic in zip(strings(batch.column("text")), strings(batch.column("toxic"))):
-            seen[toxic == 1].update({w.strip(EDGES) for w in words_of(text)} | {b""})
-        rows = [(w, n if t else 0, 0 if t else n) for t, c in seen.items() for w, n in c.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), pa.int64(), pa.int64()))], ["word", "bad", "good"])
-
-    counted = mapped(chosen.select(F.col("text").cast("string").alias("text"), "toxic"), count, "word binary, bad long, good long")
-    counted = counted.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    whole = counted.filter(F.col("word") == F.lit(b"")).first()
-    if whole is None or not whole["bad"] or not whole["good"]:
-        return frozenset()
-    ratio = (F.col("bad") / F.lit(float(whole["bad"]))) / ((F.col("good") + 0.5) / F.lit(float(whole["good"])))
-    share = F.col("bad") / F.lit(float(whole["bad"]))
-    strong = counted.filter((F.length("word") > 1) & (F.col("bad") >= min_texts) & (ratio >= 20) & (share >= 0.1))
+        seen: dict[tuple, Counter] = {}
+        for text, lang, toxic in zip(*(strings(batch.column(c)) for c in ("text", "lang", "toxic"))):
+            seen.setdefault((lang, toxic == 1), Counter()).update({w.strip(EDGES) for w in words_of(text)} | {b""})
+        rows = [(lang, w, n if t else 0, 0 if t else n) for (lang, t), c in seen.items() for w, n in c.items()]
+        kinds = (pa.string(), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["lang", "word", "bad", "good"])
+
+    counted = mapped(chosen.select("text", "lang", "toxic"), count, "lang string, word binary, bad long, good long")
+    counted = staged(counted.groupBy("lang", "word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "words")
+    whole = counted.filter(F.col("word") == F.lit(b"")).select("lang", F.col("bad").alias("all_bad"), F.col("good").alias("all_good"))
+    share = F.col("bad") / F.col("all_bad")
+    ratio = share / ((F.col("good") + 0.5) / F.col("all_good"))
+    strong = counted.join(whole, "lang").filter((F.length("word") > 1) & (F.col("bad") >= min_texts) & (F.col("all_good") > 0))
+    strong = strong.filter((share >= 0.1) & (ratio >= 20)).groupBy("word").agg(F.sum("bad").alias("bad"))
     return frozenset(bytes(r["word"]) for r in strong.orderBy(F.desc("bad"), "word").limit(MAX_LEARNED).collect())
 
 
@@ -222,7 +222,8 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> Model:
     """Votes of all texts, then both models."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang"))
     learned = learn_words(texts, labels, sample)
     n_votes = {"junk": 7, "toxic": 4}
 
