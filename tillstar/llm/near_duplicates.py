@@ -40,7 +40,8 @@ SYMBOLS = 64
 BITS = 16
 SIGMAS = 4.7
 SMALL_BUCKET = 64
-BLOCK = 512
+BLOCK_ROWS = 4096
+BLOCK_BYTES = 32 << 20
 SMALL_IDS = 1_000_000
 
 _seeds = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -237,8 +238,9 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
     pairs = mapped(gathered.select("all"), pair, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     second = _confirmed(_near(pairs, nodes, percent, r), sets, percent)
 
-    large = left.filter(F.col("size") > SMALL_BUCKET)
-    large = large.withColumns({"blocks": F.ceil(F.col("size") / BLOCK).cast("int"), "part": F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")})
+    large = left.filter(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "n"), "node")
+    parts = large.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(8 * F.sum("n") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    large = large.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
     large = large.select("bucket", "node", "component", "symbol", "part", F.explode(others).alias("pair"))
     large = large.select("bucket", "node", "component", "symbol", "part", "pair.i", "pair.j")

@@ -95,9 +95,9 @@ def votes(f: Facts) -> dict[str, list[int]]:
         ],
         "toxic": [
             _band(f.insults, 1, 0.5),
-            _band(f.learned, 1, 1.5),
-            _band(f.bad_kinds, 1, 1.5),
-            _band((f.insults + f.learned) / f.n, 0.0005, 0.004),
+            _band(f.learned, 1.5, 1.5),
+            _band(f.bad_kinds, 1.5, 1.5),
+            _band((f.insults + f.learned) / f.n, 0.0005, 0.004) if f.insults + f.learned > 1 else 0,
         ],
     }
 
