@@ -99,7 +99,7 @@ def _prints(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """node, values (sorted hashes as bytes) of the documents named; a doc_id that is repeated gives its least node's set."""
+    """node, signature, values (sorted hashes as bytes) of the nodes in `ids`; of a repeated doc_id, the text with the node's set."""
     n = ids.count()
     wanted = ids.withColumnRenamed("node", "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -112,10 +112,10 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             if hashlib.md5(values.tobytes()).digest() == keys[i]:
                 found.append(i)
                 sets.append(values.tobytes())
-        ids = batch.column("doc_id").take(pa.array(found, pa.int64()))
-        return pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], ["node", "values"])
+        ids, signs = (batch.column(c).take(pa.array(found, pa.int64())) for c in ("doc_id", "signature"))
+        return pa.RecordBatch.from_arrays([ids, signs, pa.array(sets, pa.binary())], ["node", "signature", "values"])
 
-    return mapped(chosen, of, "node long, values binary")
+    return mapped(chosen, of, "node long, signature binary, values binary").dropDuplicates(["node"])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -211,16 +211,17 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
 
     keys = mapped(nodes.select("node", "signature"), spread, "bucket long, node long, symbol int")
     shared = keys.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("size")).filter("size > 1")
-    members = staged(keys.join(shared, "bucket"), "members")
+    members = staged(keys.join(staged(shared, "shared"), "bucket"), "members")
 
     stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     stars = staged(_near(stars, nodes, percent, r), "stars")
-    active = members.select("node").distinct().join(nodes.select("node", "set_key"), "node")
+    active = members.select("node").distinct().join(nodes.select("node", "set_key", "signature"), "node")
     sets = staged(_sets(docs, active, k), "sets")
     first = staged(_confirmed(stars, sets, percent), "first")
 
     groups = staged(components(first), "groups")
-    grouped = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = nodes.select("node", "n").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    grouped = members.join(known, "node")
     apart = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
     left = staged(grouped.join(apart, "bucket"), "left")
 
@@ -238,13 +239,13 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
     pairs = mapped(gathered.select("all"), pair, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     second = _confirmed(_near(pairs, nodes, percent, r), sets, percent)
 
-    large = left.filter(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "n"), "node")
+    large = left.filter(F.col("size") > SMALL_BUCKET)
     parts = large.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(8 * F.sum("n") / BLOCK_BYTES)).cast("int").alias("blocks"))
     large = large.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
     large = large.select("bucket", "node", "component", "symbol", "part", F.explode(others).alias("pair"))
     large = large.select("bucket", "node", "component", "symbol", "part", "pair.i", "pair.j")
-    large = large.join(nodes.select("node", "signature"), "node").join(sets, "node")
+    large = large.join(sets, "node")
 
     def block(table: pa.Table) -> pa.Table:
         a, b = zip(*found) if (found := block_links(table, percent, r)) else ((), ())
