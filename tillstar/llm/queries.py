@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,58 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[CAST(i AS BIGINT) : CAST(i + 4 AS BIGINT)], ' ') AS s
+  FROM w, unnest(range(1, greatest(2, len(w) - 3))) AS t(i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id, d.doc_id = min(r.b) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
+def _license_sql() -> str:
+    """Phrases by place and templates by containment, line by line, without the join's filters."""
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+    places = []
+    for label, phrase in license_scan.PHRASES:
+        parts = phrase.split(" ")
+        here = " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(parts))
+        places.append(f"SELECT doc_id, '{label}' AS label, i FROM w, unnest(range(0, len(w))) AS t(i) WHERE {here}")
+    listed = []
+    for label, text in license_scan.TEMPLATES:
+        words = license_scan.template_words(text)
+        need = math.ceil(license_scan.THRESHOLD * len(words) - 1e-9)
+        listed.append(f"('{label}', {words}, {need})")
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all({lowered}, {word}) AS w FROM documents),
+p AS ({" UNION ALL ".join(places)}),
+t(label, words, need) AS (VALUES {", ".join(listed)}),
+l AS (
+  SELECT doc_id, list_distinct(regexp_extract_all({lowered}, {word})) AS w
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM documents)
+),
+m AS (
+  SELECT doc_id, label, CAST(len(list_intersect(l.w, t.words)) AS DOUBLE) / len(t.words) AS share
+  FROM l, t WHERE len(list_intersect(l.w, t.words)) >= t.need
+),
+b AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list_distinct(list(label)) AS labels FROM p GROUP BY doc_id),
+f AS (SELECT doc_id, max(share) AS best, list_distinct(list(label)) AS labels FROM m GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_word, b.hi AS last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+       greatest(CASE WHEN b.n > 0 THEN 1.0 ELSE 0.0 END, coalesce(f.best, 0.0))::DOUBLE AS score
+FROM w LEFT JOIN b ON b.doc_id = w.doc_id LEFT JOIN f ON f.doc_id = w.doc_id
+"""
+
+
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
@@ -96,4 +149,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": TOP_K_SQL}
+    return {"op8_license_scan": _license_sql(), "op9_exact_topk": TOP_K_SQL, "op10_minhash_near_dedup": NEAR_SQL}
