@@ -238,3 +238,21 @@ def test_merchants_take_their_latest_category(spark, rows):
         "normalized_merchant string, merchant_category string, transaction_date date",
     )
     assert rows(dimensions.merchant_members(silver)) == [("m", "y"), ("n", None)]
+
+
+def test_changes_on_one_day_amend_and_older_ones_fail(spark, rows):
+    from datetime import date
+
+    from tillstar.operators.merge import scd2_init, scd2_merge, with_version_key
+
+    def batch(value):
+        return spark.createDataFrame([("m", value)], "merchant_name string, category string")
+
+    day = date(2024, 1, 1)
+    first = with_version_key(scd2_init(batch("A"), day), "merchant_name", ["category"], "merchant_key")
+    second = scd2_merge(first, batch("B"), "merchant_name", ["category"], day)
+    third = scd2_merge(second, batch("A"), "merchant_name", ["category"], day)
+    assert rows(second, "category", "is_current") == [("B", True)]
+    assert rows(third) == rows(first.select(*third.columns))
+    with pytest.raises(Exception, match="dated before"):
+        scd2_merge(first, batch("B"), "merchant_name", ["category"], date(2023, 1, 1)).collect()

@@ -125,3 +125,18 @@ def test_dates_outside_the_calendar_keep_year_and_month(spark, feed, tmp_path):
     outside = t["fact_transactions"].filter("date_key IS NULL")
     assert t["fact_transactions"].count() == 2001
     assert 0 < outside.count() == outside.filter("year IS NOT NULL AND month IS NOT NULL").count()
+
+
+def test_a_second_year_leaves_the_first_in_reports(spark, tmp_path):
+    """The calendar grows with each run, so feeds of different years add up."""
+    from tillstar.plans import medallion, reports
+
+    out = str(tmp_path / "out")
+    ids = spark.range(200)
+    for year, seed in ((2023, 1), (2024, 2)):
+        feed = str(tmp_path / f"raw{year}")
+        tables.write_table(generator.generate_transactions(spark, ids, date(year, 1, 1), date(year, 12, 31), seed=seed), feed)
+        star = medallion.run_full(spark, feed, out, date(year, 12, 31))
+    months = reports.monthly_summary(reports.Star.of(star)).collect()
+    assert {r.year for r in months} == {2023, 2024}
+    assert sum(r.txn_count for r in months) == 400

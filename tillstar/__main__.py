@@ -12,7 +12,7 @@ import argparse
 import sys
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators import quality
@@ -62,6 +62,13 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         tables.export(mart, args.output, args.codec)
 
 
+def _print(df: DataFrame) -> None:
+    """Every row of a report, a line each; reports have a row per month, category, card or check at most."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
     star = reports.Star.of(medallion.load_star(spark, args.output))
     shown = {
@@ -76,7 +83,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
         shown[f"Month {args.month}"] = reports.month_report(star, args.month)
     for title, df in shown.items():
         print(title)
-        df.show(50, truncate=False)
+        _print(df)
 
 
 def _validate(spark: SparkSession, args: argparse.Namespace) -> bool:
@@ -87,7 +94,7 @@ def _validate(spark: SparkSession, args: argparse.Namespace) -> bool:
     )
     if args.reports:
         quality.write_report(results, args.reports)
-    quality.summarize(results).show(truncate=False)
+    _print(quality.summarize(results))
     return quality.all_passed(results).first().all_passed
 
 

@@ -19,9 +19,9 @@ def mean(sum_amount: Column, rows: Column, scale: int = 2) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Share in percent with two decimals; NULL for an empty whole."""
+    """Share in percent with two decimals, wide enough for any change; NULL for an empty whole."""
     ratio = part.cast("decimal(25,2)") * 100 / F.nullif(whole.cast("decimal(25,2)"), F.lit(0))
-    return F.round(ratio, 2).cast("decimal(9,2)")
+    return F.round(ratio, 2).cast("decimal(30,2)")
 
 
 def in_units(amount: Column, unit: int) -> Column:

@@ -81,7 +81,9 @@ def scd2_merge(
     Intervals are half-open: a version ends on the day the next one begins. A
     member absent from the source stays as it is, and applying the same batch
     twice changes nothing. The key of a version comes from member, attributes
-    and start date, so a return to an earlier category is a new version.
+    and start date, so a return to an earlier category is a new version. A
+    change on the day its version began amends that version, which keeps its
+    key; a change from before that day fails when the result is computed.
     """
     if check:
         assert_unique(source, [key], "type 2 source")
@@ -96,24 +98,22 @@ def scd2_merge(
     for a in attrs:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"_new_{a}"))
     changed = F.coalesce("_seen", F.lit(False)) & changed
-    kept = current.join(incoming, key, "left").select(
-        *[
-            F.when(changed, start).otherwise(F.col(c)).alias(c)
-            if c == "expiration_date"
-            else F.when(changed, False).otherwise(F.col(c)).alias(c)
-            if c == "is_current"
-            else F.col(c)
-            for c in target.columns
-        ]
-    )
+    amended, closed = changed & (F.col("effective_date") == start), changed & (F.col("effective_date") < start)
+    late = F.raise_error(F.concat(F.lit("a change is dated before the version it changes: "), F.col(key).cast("string")))
+    made = {
+        "expiration_date": F.when(closed, start).when(changed & ~amended, late.cast("date")).otherwise(F.col("expiration_date")),
+        "is_current": F.when(closed, False).otherwise(F.col("is_current")),
+        **{a: F.when(amended, F.col(f"_new_{a}")).otherwise(F.col(a)) for a in attrs},
+    }
+    kept = current.join(incoming, key, "left").select(*[made.get(c, F.col(c)).alias(c) for c in target.columns])
 
-    now = current.select(F.col(key), *[F.col(a).alias(f"_old_{a}") for a in attrs], F.lit(True).alias("_known"))
+    now = current.select(F.col(key), *[F.col(a).alias(f"_old_{a}") for a in attrs], F.col("effective_date").alias("_began"))
     same = F.lit(True)
     for a in attrs:
         same = same & F.col(a).eqNullSafe(F.col(f"_old_{a}"))
     opened = (
         source.join(now, key, "left")
-        .filter(F.col("_known").isNull() | ~same)
+        .filter(F.col("_began").isNull() | (~same & (F.col("_began") < start)))
         .select(key, *attrs)
     )
     opened = with_version_key(scd2_init(opened, as_of), key, attrs, surrogate)

@@ -794,7 +794,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["rpt_20_merchant_share"] = _with(
         f"""SELECT merchant_name, total_amount, {_percent('total_amount', 'whole')} AS share_percent FROM (
-              SELECT merchant_name, {_sum()} AS total_amount, (SELECT sum(amount) FROM by_merchant) AS whole
+              SELECT merchant_name, {_sum()} AS total_amount, (SELECT sum(amount) FROM fact) AS whole
               FROM by_merchant GROUP BY merchant_name)""",
         "by_merchant", double=_TOTAL,
     )

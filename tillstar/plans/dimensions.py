@@ -26,6 +26,16 @@ def dim_date(spark: SparkSession, start: date = date(2023, 1, 1), end: date = da
     return _calendar(spark.range(1).select(F.lit(start).alias("first_day"), F.lit(end).alias("last_day")))
 
 
+def grown_calendar(df: DataFrame, old: DataFrame | None, date_col: str = "transaction_date") -> DataFrame:
+    """The calendar of all whole years of `df` and of an earlier calendar, which keeps its holidays."""
+    if old is None:
+        return dim_date_covering(df, date_col)
+    both = df.select(F.col(date_col)).unionAll(old.select(F.col("full_date").alias(date_col)))
+    holidays = old.filter("is_holiday").select("date_key", F.lit(True).alias("_holiday"))
+    grown = dim_date_covering(both, date_col).join(holidays, "date_key", "left")
+    return grown.withColumn("is_holiday", F.coalesce("_holiday", F.lit(False))).select(*old.columns)
+
+
 def dim_date_covering(df: DataFrame, date_col: str = "transaction_date") -> DataFrame:
     """The calendar of all whole years that `df` touches."""
     first, last = F.trunc(F.min(date_col), "year"), F.trunc(F.max(date_col), "year")

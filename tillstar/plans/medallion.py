@@ -13,7 +13,7 @@ from tillstar.operators.dedup import dedup_hash, dedup_window
 from tillstar.operators.keys import assert_unique, dense_key, max_key
 from tillstar.operators.lookup import join_category, join_date, join_merchant_composite
 from tillstar.operators.merge import newer_than, upsert, upsert_slices
-from tillstar.plans.dimensions import dim_card, dim_category, dim_date_covering, dim_merchant
+from tillstar.plans.dimensions import dim_card, dim_category, dim_merchant, grown_calendar
 from tillstar.plans.fact import LOOKUPS, fact_transactions, small_dimensions
 from tillstar.plans.layers import KEY, build_bronze, build_silver
 from tillstar.sources.tables import (
@@ -38,21 +38,21 @@ def load_dimensions(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 def build_dimensions(
     silver: DataFrame, out: str, as_of: date, calendar: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Write the next version of all four dimensions, merged with the newest earlier one."""
+    """Write the next version of all four dimensions, merged with the newest earlier one, once all have passed their checks."""
     spark = silver.sparkSession
     old = load_dimensions(spark, out)
     built = {
-        "dim_date": dim_date_covering(silver) if calendar is None else calendar,
+        "dim_date": grown_calendar(silver, old.get("dim_date")) if calendar is None else calendar,
         "dim_category": dim_category(silver, old.get("dim_category")),
         "dim_merchant": dim_merchant(silver, as_of, old.get("dim_merchant")),
         "dim_card": dim_card(silver, old.get("dim_card")),
     }
+    built = {name: materialize(df, name) for name, df in built.items()}
+    for name, key in (("dim_date", "date_key"), ("dim_category", "category_key"), ("dim_merchant", "merchant_key"), ("dim_card", "card_key")):
+        assert_unique(built[name], [key], name)
     for name, df in built.items():
         write_version(df, f"{out}/{name}")
-    dims = load_dimensions(spark, out)
-    for name, key in (("dim_category", "category_key"), ("dim_merchant", "merchant_key")):
-        assert_unique(dims[name], [key], name)
-    return dims
+    return load_dimensions(spark, out)
 
 
 def run_full(
@@ -104,7 +104,7 @@ def run_incremental(spark: SparkSession, out: str, as_of: date) -> None:
     fresh = materialize(
         newer_than(silver, fact.select(F.col("created_at").alias("processed_at")), "processed_at"), "fresh"
     )
-    dims = build_dimensions(fresh, out, as_of, load_dimensions(spark, out).get("dim_date"))
+    dims = build_dimensions(fresh, out, as_of)
     source = fact_transactions(fresh, dims, start=max_key(fact, "transaction_key"), created_at="processed_at")
     upsert_slices(spark, path, source, KEY, MONTHS, keys_can_move=False)
 

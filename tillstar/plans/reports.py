@@ -233,18 +233,13 @@ def top_merchants_by_category_name(star: Star, n: int = 10) -> DataFrame:
 
 
 def merchant_share(star: Star) -> DataFrame:
-    """Every current merchant with its share of all spend.
+    """Every merchant, over all versions of it, with its share of all spend in the fact.
 
     Merchants can be many, so the whole is a one-row scalar subquery, not a window in one task.
     """
-    current = star.dim_merchant.filter("is_current").select("merchant_key", "merchant_name")
-    spend = (
-        _per_key(star.fact, "merchant_key")
-        .join(current, "merchant_key")
-        .groupBy("merchant_name")
-        .agg(_total())
-    )
-    whole = spend.agg(F.sum("total_amount").cast(TOTAL).alias("whole")).scalar()
+    every = star.dim_merchant.select("merchant_key", "merchant_name")
+    spend = _per_key(star.fact, "merchant_key").join(every, "merchant_key").groupBy("merchant_name").agg(_total())
+    whole = star.fact.agg(total(F.col("amount")).alias("whole")).scalar()
     return spend.withColumn("share_percent", percent(F.col("total_amount"), whole)).orderBy(
         F.desc("total_amount"), "merchant_name"
     )
@@ -296,7 +291,7 @@ def weekend_gap(star: Star) -> DataFrame:
         percent(F.col("end_rows"), F.col("_all")).alias("weekend_percent"),
         mean(F.col("day_sum"), F.col("day_rows")).alias("weekday_avg"),
         mean(F.col("end_sum"), F.col("end_rows")).alias("weekend_avg"),
-        gap.cast("decimal(9,2)").alias("avg_gap_percent"),
+        gap.cast("decimal(30,2)").alias("avg_gap_percent"),
     )
 
 

@@ -266,7 +266,7 @@ def src_15_catalog_filter(p):
 @query
 def src_16_compact(p):
     path = _scratch(p, "clustered")
-    tables.compact(p.spark, p.path("raw"), path, ("transaction_date", "transaction_id"), 8)
+    tables.compact(p.spark, p.path("raw"), path, ("transaction_date", "transaction_id"))
     return tables.read_table(p.spark, path)
 
 

@@ -14,27 +14,22 @@ from tillstar.operators.lookup import lookup
 CARD_TYPES = ("Credit", "Debit")
 CARD_COMPANIES = ("Aspen Card", "Birch Card", "Cedar Card", "Dahlia Card", "Elm Card", "Fern Card", "Grove Card")
 
-# category, subcategory, merchants, least and greatest amount
-DEFAULT_RANGES = (
-    ("Food", "Cafe", 5, 2000, 15000),
-    ("Food", "Dining", 6, 3000, 35000),
-    ("Food", "Grocery", 4, 15000, 150000),
-    ("Transport", "Transit", 2, 1400, 30000),
-    ("Transport", "Fuel", 3, 30000, 100000),
-    ("Shopping", "Clothing", 5, 15000, 200000),
-    ("Shopping", "Online", 4, 5000, 200000),
-    ("Culture", "Cinema", 3, 12000, 32000),
-    ("Health", "Clinic", 4, 5000, 150000),
-    ("Telecom", "Phone", 2, 35000, 80000),
-    ("Housing", "Rent", 1, 500000, 1500000),
-    ("Housing", "Utilities", 2, 20000, 200000),
-)
-
-
-def merchant_catalog(spark: SparkSession, ranges=DEFAULT_RANGES) -> DataFrame:
+
+
+def price_groups(categories: int = 6, kinds: int = 3, merchants: int = 4) -> list[tuple[str, str, int, int, int]]:
+    """An invented catalogue by rule: category, subcategory, merchants, least and greatest amount, dearer group by group."""
+    groups = []
+    for i in range(categories):
+        for j in range(kinds):
+            low = 500 * 2**i * (j + 1)
+            groups.append((f"Category {i + 1}", f"Kind {i + 1}-{j + 1}", merchants, low, 12 * low))
+    return groups
+
+
+def merchant_catalog(spark: SparkSession, groups=None) -> DataFrame:
     """Merchants by rule: so many per subcategory, every second one with a branch in its name."""
     rows, serial = [], 0
-    for category, subcategory, count, low, high in ranges:
+    for category, subcategory, count, low, high in groups or price_groups():
         for i in range(1, count + 1):
             branch = f" {BRANCH_TOKENS[serial % len(BRANCH_TOKENS)]}" if serial % 2 else ""
             rows.append((f"{subcategory} {i:02d}{branch}", category, subcategory, low, high))

@@ -168,19 +168,28 @@ def replace_slices(df: DataFrame, path: str, partitions: tuple[str, ...]) -> Non
     )
 
 
+FILE_BYTES = 256 << 20
+
+
 def rebuild_slice(source: DataFrame, transform, path: str, period, partitions=("year", "month")) -> None:
     """Run `transform` on one period of `source` and replace that period's partitions, in one job."""
     replace_slices(transform(source.filter(period)), path, partitions)
 
 
-def compact(spark: SparkSession, source: str, target: str, keys: tuple[str, ...], files: int) -> None:
+def compact(spark: SparkSession, source: str, target: str, keys: tuple[str, ...], files: int | None = None) -> None:
     """Rewrite a table into at most `files` files of about equal size, each a range of the keys.
 
+    Without a number, so many that a file has about FILE_BYTES of what is read.
+
     Parquet row-group minima and maxima then let scans skip files. The row's
     hash comes last in the range order, so a key value that holds much of the
     table fills several files instead of one.
     """
     df = read_table(spark, source)
+    if files is None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(source)
+        size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        files = max(1, -(-size // FILE_BYTES))
     (
         df.repartitionByRange(files, *keys, F.xxhash64(*df.columns))
         .sortWithinPartitions(*keys)
