@@ -39,7 +39,7 @@ SHINGLE = 5
 SYMBOLS = 64
 BITS = 16
 SIGMAS = 4.7
-SMALL_BUCKET = 64
+SMALL_BUCKET = 32
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 32 << 20
 SMALL_IDS = 1_000_000
@@ -226,13 +226,14 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
     left = staged(grouped.join(apart, "bucket"), "left")
 
     gathered = left.filter(F.col("size") <= SMALL_BUCKET).groupBy("bucket")
-    gathered = gathered.agg(F.collect_list(F.struct("node", "component")).alias("all"))  # at most SMALL_BUCKET
+    gathered = gathered.agg(F.collect_list(F.struct("node", "component", "n")).alias("all"))  # at most SMALL_BUCKET
 
     def pair(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: set[tuple[int, int]] = set()
         for members in batch.column("all").to_pylist():
-            members = sorted((m["node"], m["component"]) for m in members)
-            found.update((a, b) for i, (a, ca) in enumerate(members) for b, cb in members[i + 1 :] if ca != cb)
+            members = sorted((m["node"], m["component"], m["n"]) for m in members)
+            for i, (a, own, n) in enumerate(members):
+                found.update((a, b) for b, other, m in members[i + 1 :] if own != other and 100 * min(n, m) >= percent * max(n, m))
         a, b = zip(*found) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
