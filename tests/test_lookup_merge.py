@@ -136,12 +136,12 @@ def test_slices_follow_a_row_that_moves_to_another_month(spark, rows, tmp_path):
     assert untouched == {f.name for f in (tmp_path / "fact" / "year=2024" / "month=3").glob("*.parquet")}
 
 
-def test_a_slice_that_would_become_empty_is_refused(spark, rows, tmp_path):
+def test_a_slice_that_becomes_empty_is_removed(spark, rows, tmp_path):
     path = _stored(spark, tmp_path, [("a", 1, 2024, 1), ("b", 2, 2024, 2)])
     delta = spark.createDataFrame([("a", 10, 2024, 2)], TXN)
-    with pytest.raises(ValueError, match="empties a partition"):
-        merge.upsert_slices(spark, path, delta, ["transaction_id"], ("year", "month"))
-    assert rows(tables.read_table(spark, path)) == [("a", 1, 2024, 1), ("b", 2, 2024, 2)]
+    merge.upsert_slices(spark, path, delta, ["transaction_id"], ("year", "month"))
+    assert rows(tables.read_table(spark, path)) == [("a", 10, 2024, 2), ("b", 2, 2024, 2)]
+    assert not (tmp_path / "fact" / "year=2024" / "month=1").exists()
 
 
 def test_an_empty_delta_changes_nothing(spark, rows, tmp_path):

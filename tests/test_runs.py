@@ -140,3 +140,21 @@ def test_a_second_year_leaves_the_first_in_reports(spark, tmp_path):
     months = reports.monthly_summary(reports.Star.of(star)).collect()
     assert {r.year for r in months} == {2023, 2024}
     assert sum(r.txn_count for r in months) == 400
+
+
+def test_a_further_feed_adds_a_version_in_a_new_year_and_moves_a_corrected_date(spark, tmp_path):
+    out, feeds = str(tmp_path / "out"), [str(tmp_path / f"raw{i}") for i in range(2)]
+    first = generator.generate_transactions(spark, spark.range(100), date(2023, 1, 1), date(2023, 1, 31), seed=1)
+    tables.write_table(first, feeds[0])
+    medallion.run_full(spark, feeds[0], out, date(2023, 1, 31))
+    before = sorted(map(tuple, tables.read_snapshot(spark, f"{out}/fact_transactions", 1).collect()))
+    moved = tables.read_table(spark, feeds[0]).limit(10).withColumn("transaction_date", F.lit(date(2024, 3, 1)).cast(first.schema["transaction_date"].dataType))
+    tables.write_table(moved, feeds[1])
+    star = medallion.run_incremental(spark, out, date(2024, 3, 1), feeds[1])
+    fact = star["fact_transactions"]
+    assert fact.count() == fact.select("transaction_id").distinct().count() == 100
+    assert fact.filter("date_key = 20240301").count() == 10
+    assert star["silver"].count() == 100 and star["bronze"].count() == 110
+    assert before == sorted(map(tuple, tables.read_snapshot(spark, f"{out}/fact_transactions", 1).collect()))
+    again = medallion.run_incremental(spark, out, date(2024, 3, 1))
+    assert again["fact_transactions"].count() == 100

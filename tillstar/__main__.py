@@ -35,7 +35,7 @@ def _arguments() -> argparse.Namespace:
     run = commands.add_parser("run", help="feed to fact table")
     run.add_argument("feed")
     run.add_argument("output")
-    run.add_argument("--mode", choices=["full", "one-pass", "hash", "window"], default="full")
+    run.add_argument("--mode", choices=["full", "incremental", "one-pass", "hash", "window"], default="full")
     run.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     run.add_argument("--codec", default="snappy")
 
@@ -53,6 +53,9 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.mode == "full":
         medallion.run_full(spark, args.feed, args.output, args.as_of)
         return
+    if args.mode == "incremental":
+        medallion.run_incremental(spark, args.output, args.as_of, args.feed)
+        return
     raw = tables.read_table(spark, args.feed)
     if args.mode == "one-pass":
         fact = medallion.run_one_pass(raw, dim_date_covering(raw))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.keys import content_key
 from tillstar.operators.keys import assert_unique
 from tillstar.operators.lookup import small_enough
-from tillstar.sources.tables import materialize, read_table, replace_slices
+from tillstar.sources.tables import materialize, read_table, remove_slice, replace_slices
 
 OPEN_END = date(9999, 12, 31)
 BOOTSTRAP_START = date(2000, 1, 1)
@@ -153,8 +153,9 @@ def upsert_slices(
 
     Touched are the partitions the source writes to and, as `keys_can_move`,
     those where its keys sit now (found by scanning the key column only). A
-    partition that the upsert would leave empty cannot be cleared by a dynamic
-    overwrite, so that case is refused before anything is written.
+    partition that the upsert leaves empty is removed after the others are
+    written; a run that dies in between leaves the moved rows in both places,
+    and the same upsert again mends it.
     """
     assert_unique(source, keys, "upsert source")
     target = read_table(spark, path)
@@ -179,6 +180,6 @@ def upsert_slices(
     )
     merged = materialize(upsert(within, source, keys, check=False), "merged")
     filled = {tuple(row) for row in merged.select(*partitions).distinct().collect()}
-    if touched - filled:
-        raise ValueError("the upsert empties a partition; write a new version instead")
     replace_slices(merged, path, partitions)
+    for place in touched - filled:
+        remove_slice(spark, path, dict(zip(partitions, place)))

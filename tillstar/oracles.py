@@ -638,6 +638,12 @@ def oracle_sql() -> dict[str, str]:
               USING (normalized_merchant)""",
         "fact", double=_AMOUNT,
     )
+    sql["mrg_6_run_incremental"] = sql["bld_8_second_run"]
+    sql["src_17_snapshot_after_incremental"] = _with(
+        """SELECT f.transaction_id, f.year, f.month, date_key, f.amount
+           FROM fact f JOIN silver s USING (transaction_id) WHERE s.transaction_date < DATE '2001-01-01'""",
+        "fact", double=_AMOUNT,
+    )
     loose = "(SELECT * FROM raw_txn WHERE amount > 0 AND transaction_date IS NOT NULL)"
     sql["bld_9_one_pass"] = _with(
         f"""SELECT date_key, {_int('year(transaction_date)')} AS year, {_int('month(transaction_date)')} AS month,

@@ -11,7 +11,7 @@ from tillstar.functions.keys import if_known, row_key
 from tillstar.operators.clean import filter_valid, members
 from tillstar.operators.dedup import dedup_hash, dedup_window
 from tillstar.operators.keys import assert_unique, dense_key, max_key
-from tillstar.operators.lookup import join_category, join_date, join_merchant_composite
+from tillstar.operators.lookup import join_category, join_date, join_merchant_composite, small_enough
 from tillstar.operators.merge import newer_than, upsert, upsert_slices
 from tillstar.plans.dimensions import dim_card, dim_category, dim_merchant, grown_calendar
 from tillstar.plans.fact import LOOKUPS, fact_transactions, small_dimensions
@@ -20,7 +20,6 @@ from tillstar.sources.tables import (
     materialize,
     read_snapshot,
     read_table,
-    versions,
     with_year_month,
     write_table,
     write_version,
@@ -93,20 +92,40 @@ def load_star(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     }
 
 
-def run_incremental(spark: SparkSession, out: str, as_of: date) -> None:
-    """Bring the newest fact version up to date with silver rows processed since, month by month.
+def merge_feed(spark: SparkSession, feed: str, out: str) -> None:
+    """Add a further feed to bronze, and its transactions to silver.
 
-    A transaction's date is immutable here, so its month is too and only the
-    months of the new rows are read and rewritten.
+    A transaction that silver has already is replaced, also when its date has
+    moved it to another month; only the months concerned are rewritten. A feed
+    that is merged again after a failure changes silver no further.
     """
-    path = f"{out}/fact_transactions/version={versions(spark, f'{out}/fact_transactions')[-1]}"
-    fact, silver = read_table(spark, path), read_table(spark, f"{out}/silver")
+    new = materialize(build_bronze(read_table(spark, feed)), "new_bronze")
+    write_table(new, f"{out}/bronze", MONTHS, mode="append")
+    upsert_slices(spark, f"{out}/silver", build_silver(new), KEY, MONTHS)
+
+
+def run_incremental(spark: SparkSession, out: str, as_of: date, feed: str | None = None) -> dict[str, DataFrame]:
+    """The next fact version: the newest one with the silver rows processed since, after merging `feed` if one is given.
+
+    Earlier versions stay as they are. While the new keys are few enough to
+    broadcast, the kept rows go from scan to write without a shuffle.
+    """
+    if feed is not None:
+        merge_feed(spark, feed, out)
+    fact, silver = read_snapshot(spark, f"{out}/fact_transactions"), read_table(spark, f"{out}/silver")
     fresh = materialize(
         newer_than(silver, fact.select(F.col("created_at").alias("processed_at")), "processed_at"), "fresh"
     )
+    if fresh.isEmpty():
+        return load_star(spark, out)
+    assert_unique(fresh, KEY, "new silver rows")
     dims = build_dimensions(fresh, out, as_of)
     source = fact_transactions(fresh, dims, start=max_key(fact, "transaction_key"), created_at="processed_at")
-    upsert_slices(spark, path, source, KEY, MONTHS, keys_can_move=False)
+    few = bool(small_enough({"keys": fresh.select(*KEY)}))
+    if few:
+        source = source.hint("rebalance", *MONTHS)
+    write_version(upsert(fact, source, KEY, check=False, small=few), f"{out}/fact_transactions", MONTHS, clustered=few)
+    return load_star(spark, out)
 
 
 def run_one_pass(raw: DataFrame, dim_date: DataFrame, key=row_key) -> DataFrame:

@@ -589,6 +589,36 @@ def mrg_6_incremental(p):
     return tables.read_table(p.spark, path)
 
 
+def _in_two_loads(p: Prepared, label: str) -> str:
+    """The feed up to the cut in a full run, then the rest as an increment."""
+    out, early, late = (_scratch(p, f"{label}_{part}") for part in ("out", "early", "late"))
+    tables.write_table(p.raw.filter(F.col("transaction_date") < CUT), early)
+    tables.write_table(p.raw.filter(F.col("transaction_date") >= CUT), late)
+    medallion.run_full(p.spark, early, out, FIRST_LOAD)
+    medallion.run_incremental(p.spark, out, CUT, late)
+    return out
+
+
+@query
+def mrg_6_run_incremental(p):
+    """A further feed through bronze and silver to the fact; the calendar grows with it."""
+    star = medallion.load_star(p.spark, _in_two_loads(p, "increment"))
+    cards = star["dim_card"].withColumnRenamed("card_number", "_number")
+    return (
+        star["fact_transactions"]
+        .join(cards, "card_key")
+        .select("transaction_id", "year", "month", "date_key", "category_key", "merchant_key",
+                F.col("_number").alias("card_number"), "card_type", "card_company", "amount")
+    )
+
+
+@query
+def src_17_snapshot_after_incremental(p):
+    """The first fact version, read after an increment has made the second."""
+    first = tables.read_snapshot(p.spark, f"{_in_two_loads(p, 'snapshots')}/fact_transactions", 1)
+    return first.select("transaction_id", "year", "month", "date_key", "amount")
+
+
 @query
 def mrg_6_upsert_slices(p):
     """Changed and new rows; only the months they lie in are rewritten."""

@@ -21,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # the workers of local-cluster are other processes
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
@@ -154,7 +155,7 @@ def replace_slices(df: DataFrame, path: str, partitions: tuple[str, ...]) -> Non
     """Replace exactly the partitions that occur in `df`; all others stay.
 
     `df` must not read `path` (stage it with `materialize`). A partition that
-    should become empty does not occur in `df` and is therefore not cleared.
+    should become empty does not occur in `df` and is left to `remove_slice`.
     Columns take the types the table has.
     """
     stored = read_table(df.sparkSession, path).schema
@@ -168,6 +169,14 @@ def replace_slices(df: DataFrame, path: str, partitions: tuple[str, ...]) -> Non
     )
 
 
+def remove_slice(spark: SparkSession, path: str, place: dict[str, int | None]) -> None:
+    """Remove one partition of whole numbers, such as a year and month, whose rows have all moved."""
+    names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else int(v)}" for c, v in place.items()]
+    fs, folder = _path_handle(spark, "/".join([path, *names]))
+    fs.delete(folder, True)
+    spark.catalog.refreshByPath(path)
+
+
 FILE_BYTES = 256 << 20
 
 
