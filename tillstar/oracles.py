@@ -638,7 +638,9 @@ def oracle_sql() -> dict[str, str]:
               USING (normalized_merchant)""",
         "fact", double=_AMOUNT,
     )
-    sql["mrg_6_run_incremental"] = sql["bld_8_second_run"]
+    # Of a transaction that both feeds hold, the copy of the later feed stays.
+    by = "PARTITION BY transaction_id ORDER BY "
+    sql["mrg_6_run_incremental"] = sql["bld_8_second_run"].replace(by, f"{by}transaction_date < DATE '2001-01-01', ")
     sql["src_17_snapshot_after_incremental"] = _with(
         """SELECT f.transaction_id, f.year, f.month, date_key, f.amount
            FROM fact f JOIN silver s USING (transaction_id) WHERE s.transaction_date < DATE '2001-01-01'""",
