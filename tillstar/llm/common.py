@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
+#: Rows of whole texts that a worker turns into Python objects at a time.
+TEXTS = 1000
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _roots: dict[str, str] = {}
 
@@ -61,13 +64,17 @@ def crc_of_id(value) -> int:
     return zlib.crc32(str(value).encode())
 
 
-def mapped(df: DataFrame, function, schema: str) -> DataFrame:
-    """Apply a function of one Arrow batch to every batch; it returns a batch, or None for no rows."""
+def mapped(df: DataFrame, function, schema: str, rows: int | None = None) -> DataFrame:
+    """Apply a function of one Arrow batch to every batch; it returns a batch, or None for no rows.
+
+    With `rows`, it gets at most so many rows at a time, which bounds what it holds of whole texts.
+    """
 
     def over(batches):
         for batch in batches:
-            if batch.num_rows:
-                made = function(batch)
+            step = rows or max(1, batch.num_rows)
+            for at in range(0, batch.num_rows, step):
+                made = function(batch.slice(at, step))
                 if made is not None:
                     yield made
 

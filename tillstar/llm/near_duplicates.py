@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import hashes_of, mapped, mix, shingle_hashes, signed, staged, strings, words_of
+from tillstar.llm.common import TEXTS, hashes_of, mapped, mix, shingle_hashes, signed, staged, strings, words_of
 from tillstar.llm.components import components
 
 SHINGLE = 5
@@ -95,7 +95,7 @@ def _prints(docs: DataFrame, k: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "set_key", "signature"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(texts, of, "doc_id long, n_shingles long, set_key binary, signature binary")
+    return mapped(texts, of, "doc_id long, n_shingles long, set_key binary, signature binary", TEXTS)
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -115,7 +115,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
         ids, signs = (batch.column(c).take(pa.array(found, pa.int64())) for c in ("doc_id", "signature"))
         return pa.RecordBatch.from_arrays([ids, signs, pa.array(sets, pa.binary())], ["node", "signature", "values"])
 
-    return mapped(chosen, of, "node long, signature binary, values binary").dropDuplicates(["node"])
+    return mapped(chosen, of, "node long, signature binary, values binary", TEXTS).dropDuplicates(["node"])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:

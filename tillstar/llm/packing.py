@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import mapped, staged, strings
+from tillstar.llm.common import TEXTS, mapped, staged, strings
 
 END_ID = 0
 CAPACITY = 2048
@@ -42,7 +42,7 @@ class WordIds:
     without the normaliser; all others through the tokenizer as it is.
     """
 
-    KEEP = 400_000
+    KEEP = 150_000
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%&*$#\"()\[\]-]*)")
     BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
@@ -144,7 +144,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return mapped(docs.select("doc_id", F.col("text").cast("string").alias("text")), cut, PIECES)
+    return mapped(docs.select("doc_id", F.col("text").cast("string").alias("text")), cut, PIECES, TEXTS)
 
 
 def fullest(available: dict[int, int], room: int) -> dict[int, int]:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import mapped, staged, strings, words_of
+from tillstar.llm.common import TEXTS, mapped, staged, strings, words_of
 
 SAMPLE = 20_000
 BUCKETS = 1 << 18
@@ -269,7 +269,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("row"), *cols], ["row", *ASPECTS])
 
     kind = whole.schema["row"].dataType.simpleString()
-    return mapped(whole, over, f"row {kind}, junk double, toxic double")
+    return mapped(whole, over, f"row {kind}, junk double, toxic double", TEXTS)
 
 
 def classify(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, cut: float = 0.5) -> DataFrame:
