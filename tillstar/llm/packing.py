@@ -42,7 +42,7 @@ class WordIds:
     without the normaliser; all others through the tokenizer as it is.
     """
 
-    KEEP = 150_000
+    KEEP = 400_000
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%&*$#\"()\[\]-]*)")
     BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
