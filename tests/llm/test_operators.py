@@ -129,6 +129,26 @@ def test_scoring_without_rows(none):
     assert lm_scoring.score_documents(none).count() == 0
 
 
+def test_scores_keep_every_pair(spark):
+    """Text without repeats has over 3 million pairs, most seen once; all of them count, also over several batches and runs."""
+    picked = random.Random(6)
+    rows = [(i, "".join(picked.choices("abcdefghijklmnopqrstuvwxyz ", k=5000))) for i in range(360)]
+    raw = [t.encode() for i, t in rows if not lm_scoring.is_held_out(i)]
+    code, n = np.unique(lm_scoring._codes(raw, 5)[0], return_counts=True)
+    level, codes, count = [np.full(len(code), 5)], [code], [n]
+    for j in range(4, -1, -1):
+        short, n = np.unique(codes[-1] & np.uint64((1 << 8 * (j + 1)) - 1), return_counts=True)
+        level.append(np.full(len(short), j))
+        codes.append(short)
+        count.append(n)
+    assert sum(map(len, codes)) > 3_000_000
+    trie = lm_scoring.Trie(5, *map(np.concatenate, (level, codes, count)))
+    got = {r.doc_id: r.score for r in lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert got[i] == pytest.approx(trie.log10(lm_scoring._codes([t.encode()], 5)[0]).sum(), rel=1e-9)
+
+
 # --- op2
 
 

@@ -4,10 +4,13 @@ Training texts (all but the held-out fold) are counted in one pass: words for a
 unigram base, and byte contexts of `ORDER` bytes with the byte that follows.
 A shorter context counts in how many longer ones its symbol was seen, the
 symbols it would have to tell after an escape. A context's symbols are always
-among its suffix's; this lets the exclusion sums be held per context. The trie
-keeps every context-symbol pair seen at least 2^b times, with the least b that
-leaves at most `max_nodes` pairs, which bounds what is broadcast at any corpus
-size; everything is counted first, over the whole corpus.
+among its suffix's; this lets the exclusion sums be held per context. Every
+context-symbol pair counts, and the model stays on the executors: pairs whose
+contexts agree in their last `NEAR` bytes meet in one run of a partition, which
+gives the probability of each distinct code. Only pairs of contexts shorter than
+that are broadcast; bytes, not the corpus, bound their number (256^NEAR). Texts
+form batches of about `BATCH` bytes, and the probabilities of a batch's distinct
+codes come back to its texts by joins.
 
 Escapes follow method C: with T the counts and q the number of symbols not yet
 excluded, a symbol has count / (T + q) and the escape q / (T + q). Below the
@@ -25,7 +28,6 @@ table gives no rows; without training texts every byte has 1/256.
 from __future__ import annotations
 
 import math
-import uuid
 import zlib
 from collections import Counter
 
@@ -35,10 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import mix, scratch_root, signed, strings, words_of
+from tillstar.llm.common import TEXTS, mix, signed, staged, strings
 
 ORDER = 5
-MAX_NODES = 3_000_000
+NEAR = 3
+BATCH = 32 << 20
+RUN = 500_000
 FREQUENT = 200_000
 FOLDS = 5
 HELD_OUT = 1
@@ -75,57 +79,70 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return codes, np.bincount(back, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes)).astype(np.int64)
 
 
-def count_corpus(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
-    """Words (word, n) and contexts (code, n) of the training texts, each counted over all of them."""
+def count_corpus(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Words (word, n) counted over all training texts; codes (batch, code, n) of each batch, with how often its training texts have them; texts (batch, row, doc_id, text)."""
+    schema = pa.schema(
+        [("batch", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()), ("word", pa.binary()), ("code", pa.int64()), ("n", pa.int64())]
+    )
+
+    def made(size: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
 
     def words_batch(counter: Counter) -> pa.RecordBatch:
-        n = len(counter)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(counter.keys(), pa.binary()), pa.nulls(n, pa.int64()), pa.array(counter.values(), pa.int64())], ["word", "code", "n"]
-        )
+        return made(len(counter), word=pa.array(counter.keys(), pa.binary()), n=pa.array(counter.values(), pa.int64()))
+
+    def codes_batch(batch: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return made(len(codes), batch=pa.array(np.full(len(codes), batch)), code=pa.array(signed(codes)), n=pa.array(n))
 
-    def codes_batch(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.nulls(len(codes), pa.binary()), pa.array(signed(codes)), pa.array(n)], ["word", "code", "n"])
+    def distinct(train: list[bytes], held_out: list[bytes]):
+        if train:
+            yield np.unique(_codes(train, order)[0], return_counts=True)
+        if held_out:
+            codes = np.unique(_codes(held_out, order)[0])
+            yield codes, np.zeros(len(codes), dtype=np.int64)
 
     def over(batches):
-        counter, parts, held = Counter(), [], 0
+        row = own = TaskContext.get().partitionId() << 40
+        counter, parts, train, held_out, size, whole = Counter(), [], [], [], 0, 0
         for batch in batches:
-            texts = [_bytes_of(t) for i, t in zip(strings(batch.column("doc_id")), strings(batch.column("text"))) if not is_held_out(i)]
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size < CHUNK):
-                    size += len(texts[to])
-                    to += 1
-                for text in texts[at:to]:
-                    counter.update(text.split())
-                counter[END] += to - at
-                codes, n = np.unique(_codes(texts[at:to], order)[0], return_counts=True)
-                parts.append((codes, n))
-                held += len(codes)
-                if held > 3_000_000:
-                    parts = [_merged(parts)]
-                    held = len(parts[0][0])
-                    if held > 1_500_000:
-                        yield codes_batch(*parts[0])
-                        parts, held = [], 0
-                if len(counter) > 400_000:
-                    yield words_batch(counter)
-                    counter = Counter()
-                at = to
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                ids, texts, owners, first = strings(part.column("doc_id")), strings(part.column("text")), [], row
+                for doc_id, text in zip(ids, texts):
+                    raw = _bytes_of(text)
+                    if is_held_out(doc_id):
+                        held_out.append(raw)
+                    else:
+                        train.append(raw)
+                        counter.update(raw.split())
+                        counter[END] += 1
+                    owners.append(own)
+                    size += len(raw)
+                    row += 1
+                    if size >= CHUNK:
+                        parts += distinct(train, held_out)
+                        train, held_out, whole, size = [], [], whole + size, 0
+                        if sum(len(p[0]) for p in parts) > 3_000_000:
+                            parts = [_merged(parts)]
+                    if whole >= BATCH:
+                        yield codes_batch(own, *_merged(parts))
+                        parts, whole, own = [], 0, row
+                    if len(counter) > 400_000:
+                        yield words_batch(counter)
+                        counter = Counter()
+                n = part.num_rows
+                yield made(n, batch=pa.array(owners, pa.int64()), row=pa.array(range(first, row), pa.int64()), doc_id=pa.array(ids, pa.int64()), text=pa.array(texts, pa.string()))
+        parts += distinct(train, held_out)
+        if parts:
+            yield codes_batch(own, *_merged(parts))
         if counter:
             yield words_batch(counter)
-        if parts:
-            yield codes_batch(*_merged(parts))
 
-    seen = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(over, "word binary, code long, n long")
-    seen = seen.groupBy("word", "code").agg(F.sum("n").alias("n")).withColumn("kind", F.when(F.col("code").isNull(), "word").otherwise("code"))
-    spark = docs.sparkSession
-    path = f"{scratch_root(spark)}/counts-{uuid.uuid4().hex}"
-    seen.write.partitionBy("kind").parquet(path)
-    counted = spark.read.schema("word binary, code long, n long, kind string").parquet(path)
-    words = counted.filter("kind = 'word'").select("word", "n")
-    return words, counted.filter("kind = 'code'").select("code", "n")
+    seen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    seen = staged(seen.mapInArrow(over, "batch long, row long, doc_id long, text string, word binary, code long, n long"), "counts")
+    words = seen.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
+    codes = seen.filter(F.col("code").isNotNull()).select("batch", "code", "n")
+    return staged(words, "words"), codes, seen.filter(F.col("row").isNotNull()).select("batch", "row", "doc_id", "text")
 
 
 class Table:
@@ -224,66 +241,80 @@ class Trie:
             out[left] -= np.log10(256.0 - seen)
         return out
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        at = 0
-        while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (to == at or size < CHUNK):
-                size += len(texts[to])
-                to += 1
-            code, begins = _codes(texts[at:to], self.order)
-            out[at:to] = np.add.reduceat(self.log10(code), begins)
-            at = to
-        return out
-
-
-def trie_rows(contexts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Level, code and count of the trie's pairs, at most `max_nodes` of them, from the counts of the longest contexts."""
-    spark = contexts.sparkSession
-    levels = None
-    for j in range(order + 1):
-        mask = (1 << 8 * (j + 1)) - 1
-        one = contexts.select(F.lit(j).alias("level"), F.col("code").bitwiseAND(F.lit(mask)).alias("code"), "n")
-        levels = one if levels is None else levels.unionAll(one)
-    levels = levels.groupBy("level", "code").agg(F.sum("n").alias("n"))
-    path = f"{scratch_root(spark)}/levels-{uuid.uuid4().hex}"
-    levels.withColumn("power", F.floor(F.log2("n")).cast("int")).write.parquet(path)
-    levels = spark.read.schema("level int, code long, n long, power int").parquet(path)
-    kept, least = 0, 0
-    for row in sorted(levels.groupBy("power").count().collect(), key=lambda r: -r["power"]):  # at most 63 rows
-        if kept + row["count"] > max_nodes:
-            least = row["power"] + 1
-            break
-        kept += row["count"]
-    shorter = F.expr("code & (shiftleft(1L, 8 * level) - 1)").alias("code")
-    within = levels.filter("level > 0").select((F.col("level") - 1).alias("level"), shorter).groupBy("level", "code").agg(F.count("*").alias("kinds"))
-    both = levels.filter(F.col("power") >= least).join(within, ["level", "code"], "left")
-    got = both.select("level", "code", F.coalesce("kinds", "n").alias("n")).toArrow()
-    return (
-        got.column("level").to_numpy().astype(np.uint8),
-        got.column("code").to_numpy().astype(np.int64).view(np.uint64),
-        got.column("n").to_numpy().astype(np.int64),
-    )
 
+def scores(texts: list[bytes], order: int, log10) -> np.ndarray:
+    """The log10 probability of each text, from that of each code."""
+    out = np.zeros(len(texts))
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size < CHUNK):
+            size += len(texts[to])
+            to += 1
+        code, begins = _codes(texts[at:to], order)
+        out[at:to] = np.add.reduceat(log10(code), begins)
+        at = to
+    return out
+
+
+def _mask(level: int) -> int:
+    return (1 << 8 * (level + 1)) - 1
+
+
+def _shorter(level: int, code: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Level, code and count of the pairs below `level` down to `least`, from that level's distinct codes."""
+    out = []
+    for j in range(level - 1, least - 1, -1):
+        code, n = np.unique(code & np.uint64(_mask(j)), return_counts=True)
+        out.append((np.full(len(code), j, dtype=np.uint8), code, n))
+    return out
+
+
+def code_probabilities(codes: DataFrame, order: int = ORDER) -> DataFrame:
+    """code, log: the log10 probability of each distinct code, from all pairs with a count."""
+    near = min(NEAR, order)
+    counted = staged(codes.groupBy("code").agg(F.sum("n").alias("n")), "codes")
+    shared = [(np.empty(0, dtype=np.uint8), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))]
+    if near:
+        pairs = counted.filter("n > 0").select(F.col("code").bitwiseAND(F.lit(_mask(near))).alias("code")).distinct()
+        pairs = pairs.groupBy(F.col("code").bitwiseAND(F.lit(_mask(near - 1))).alias("code")).count().toArrow()  # at most 256^near
+        code = pairs.column("code").to_numpy().astype(np.int64).view(np.uint64)
+        shared = [(np.full(len(code), near - 1, dtype=np.uint8), code, pairs.column("count").to_numpy().astype(np.int64))]
+        shared += _shorter(near - 1, code, 0)
+    shared = codes.sparkSession.sparkContext.broadcast(shared)
+
+    def scored(table: pa.Table) -> pa.RecordBatch:
+        code, n = table.column("code").to_numpy().astype(np.int64).view(np.uint64), table.column("n").to_numpy()
+        seen = code[n > 0]
+        own = [(np.full(len(seen), order, dtype=np.uint8), seen, n[n > 0]), *_shorter(order, seen, near)]
+        model = Trie(order, *map(np.concatenate, zip(*own, *shared.value)))
+        return pa.RecordBatch.from_arrays([pa.array(signed(code)), pa.array(model.log10(code))], ["code", "log"])
 
-_tries: dict[str, Trie] = {}
-
-
-def trie_of(name: str, order: int, rows) -> Trie:
-    """The trie of these rows, built once in each worker process, which keeps the latest."""
-    if name not in _tries:
-        _tries.clear()
-        _tries[name] = Trie(order, *rows)
-    return _tries[name]
-
-
-def score_documents(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, frequent: int = FREQUENT) -> DataFrame:
+    def over(batches):
+        held, size, limit = [], 0, RUN
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= limit:
+                table = pa.Table.from_batches(held)
+                keys = table.column("key").to_numpy()
+                cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+                if cut:
+                    yield scored(table.slice(0, cut))
+                held, size = table.slice(cut).to_batches(), size - cut
+                limit = max(RUN, 2 * size)
+        if size:
+            yield scored(pa.Table.from_batches(held))
+
+    key = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * near) - 1)).alias("key")
+    return counted.select(key, "code", "n").repartition("key").sortWithinPartitions("key").mapInArrow(over, "code long, log double")
+
+
+def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     spark = docs.sparkSession
-    words, contexts = count_corpus(docs, order)
-    rows = spark.sparkContext.broadcast(trie_rows(contexts, order, max_nodes))
-    name = uuid.uuid4().hex
+    words, codes, texts = count_corpus(docs, order)
+    logs = codes.select("batch", "code").join(code_probabilities(codes, order), "code").select(F.col("batch").alias("own"), "code", "log")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     train_tokens, rest = sums["n"], math.log10(sums["n"] + 0.5 * (sums["v"] + 1))
     common = words.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
@@ -293,58 +324,42 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NO
         "row long, doc struct<doc_id: long, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>, "
         "rare array<struct<word: binary, times: long>>"
     )
-
-    def over(batches):
-        get, model = known.value, trie_of(name, order, rows.value)
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = strings(part.column("doc_id"))
-                texts = [_bytes_of(t) for t in strings(part.column("text"))]
-                scores = model.scores(texts)
-                docs_out, rare_out, numbers = [], [], []
-                for doc_id, text, score in zip(ids, texts, scores.tolist()):
-                    own = text.split()
-                    own.append(END)
-                    logs = [get.get(w) for w in own]
-                    rare = Counter([w for w, x in zip(own, logs) if x is None])
-                    n_rare = sum(rare.values())
-                    docs_out.append(
-                        {
-                            "doc_id": doc_id,
-                            "held_out": is_held_out(doc_id),
-                            "n_tokens": len(own),
-                            "n_known": len(own) - n_rare,
-                            "base": math.fsum([x for x in logs if x is not None]),
-                            "score": score,
-                        }
-                    )
-                    rare_out.append([{"word": None, "times": 0}, *({"word": w, "times": n} for w, n in rare.items())])
-                    numbers.append(row)
-                    row += 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(numbers, pa.int64()),
-                        pa.array(
-                            docs_out,
-                            pa.struct(
-                                [
-                                    ("doc_id", pa.int64()),
-                                    ("held_out", pa.bool_()),
-                                    ("n_tokens", pa.int64()),
-                                    ("n_known", pa.int64()),
-                                    ("base", pa.float64()),
-                                    ("score", pa.float64()),
-                                ]
-                            ),
-                        ),
-                        pa.array(rare_out, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
-                    ],
-                    ["row", "doc", "rare"],
+    doc = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+    rare = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+    made_schema = pa.schema([("row", pa.int64()), ("doc", pa.struct(doc)), ("rare", rare)])
+
+    def of(texts: pa.Table, logs: pa.Table) -> pa.Table:
+        get = known.value
+        table, log = Table(logs.column("code").to_numpy().astype(np.int64).view(np.uint64)), logs.column("log").to_numpy()
+        made = [made_schema.empty_table()]
+        for at in range(0, texts.num_rows, 500):
+            part = texts.slice(at, 500)
+            ids = strings(part.column("doc_id"))
+            raws = [_bytes_of(t) for t in strings(part.column("text"))]
+            found = scores(raws, order, lambda code: log[table.find(code)])
+            docs_out, rare_out = [], []
+            for doc_id, text, score in zip(ids, raws, found.tolist()):
+                own = text.split()
+                own.append(END)
+                known_logs = [get.get(w) for w in own]
+                rare = Counter([w for w, x in zip(own, known_logs) if x is None])
+                n_rare = sum(rare.values())
+                docs_out.append(
+                    {
+                        "doc_id": doc_id,
+                        "held_out": is_held_out(doc_id),
+                        "n_tokens": len(own),
+                        "n_known": len(own) - n_rare,
+                        "base": math.fsum([x for x in known_logs if x is not None]),
+                        "score": score,
+                    }
                 )
+                rare_out.append([{"word": None, "times": 0}, *({"word": w, "times": n} for w, n in rare.items())])
+            cols = [strings(part.column("row")), docs_out, rare_out]
+            made.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, made_schema)], schema=made_schema))
+        return pa.concat_tables(made)
 
-    scored = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(over, schema)
+    scored = texts.groupBy("batch").cogroup(logs.groupBy("own")).applyInArrow(of, schema)
     each = scored.select("row", "doc", F.explode("rare").alias("x"))
     each = each.select("row", F.when(F.col("x.word").isNull(), F.col("doc")).alias("doc"), F.col("x.word").alias("word"), F.col("x.times").alias("times"))
     met = each.join(words, "word", "left")
