@@ -303,6 +303,48 @@ def test_chain_equals_brute_force():
         assert max(worth(p) for p in substring_dedup.chain(x, y)) == pytest.approx(best)
 
 
+def planted(texts_of, trials):
+    """Documents in which passages stand in two texts, and where in the later one."""
+    rows, spans = [], {}
+    for i in range(trials):
+        passage, change, noise = texts_of(i)
+        rows += [(3 * i, noise), (3 * i + 1, f"{unique(40, i, 'a')} {passage} {unique(40, i, 'b')}"), (3 * i + 2, f"{unique(40, i, 'c')} {change} {unique(40, i, 'd')}")]
+        spans[3 * i + 2] = (40, len(change.split()))
+    return rows, spans
+
+
+def unique(n, *of):
+    return " ".join(f"{'.'.join(map(str, of))}.{j}" for j in range(n))
+
+
+def covered(spark, rows, spans):
+    """Of the planted passages, those of which most words are found."""
+    found = defaultdict(list)
+    for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id].append((r.start_word, r.start_word + r.n_words))
+    words = {i: sum(max(0, min(b, start + n) - max(a, start)) for a, b in found[i]) for i, (start, n) in spans.items()}
+    return {i for i, (_, n) in spans.items() if words[i] >= 0.8 * n}
+
+
+def test_edited_passages_are_found(spark):
+    """Passages of 60 to 100 words, with up to one word in ten replaced."""
+
+    def texts_of(i):
+        picked, words = random.Random(i), unique(60 + i % 41, i, "p").split()
+        change = list(words)
+        for at in picked.sample(range(3, len(words) - 3), len(words) * (i % 5) // 40):
+            change[at] = f"x{i}.{at}"
+        return " ".join(words), " ".join(change), ""
+
+    rows, spans = planted(texts_of, 200)
+    assert covered(spark, rows, spans) == set(spans)
+
+
+def test_thinned_runs_keep_their_ends():
+    x, y = substring_dedup.thinned(np.array([5, 6, 7, 8, 9, 10, 11, 30]), np.array([1, 2, 3, 4, 5, 6, 7, 9]), 5)
+    assert sorted(zip(x.tolist(), y.tolist())) == [(5, 1), (10, 6), (11, 7), (30, 9)]
+
+
 # --- op6
 
 
