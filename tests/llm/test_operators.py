@@ -340,6 +340,22 @@ def test_edited_passages_are_found(spark):
     assert covered(spark, rows, spans) == set(spans)
 
 
+def test_passages_of_phrases_that_earlier_texts_hold_are_found(spark):
+    """Half of each passage's 5-word runs stand in unrelated earlier texts too."""
+
+    def texts_of(i):
+        words = unique(60, i, "p").split()
+        return " ".join(words), " ".join(words), ""
+
+    rows, spans = planted(texts_of, 60)
+    early = []
+    for i, t in rows:
+        if i % 3 == 1:
+            words = t.split()[40:100]
+            early += [(-1 - len(early) - j, f"{unique(9, i, j)} {' '.join(words[j : j + 9])} {unique(9, i, j, 'z')}") for j in range(0, 60, 12)]
+    assert covered(spark, [*rows, *early], spans) == set(spans)
+
+
 def test_thinned_runs_keep_their_ends():
     x, y = substring_dedup.thinned(np.array([5, 6, 7, 8, 9, 10, 11, 30]), np.array([1, 2, 3, 4, 5, 6, 7, 9]), 5)
     assert sorted(zip(x.tolist(), y.tolist())) == [(5, 1), (10, 6), (11, 7), (30, 9)]
