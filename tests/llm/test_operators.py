@@ -481,6 +481,19 @@ def test_components_equal_brute_force(spark, docs, none, monkeypatch, small):
     assert sorted(once) == sorted(i for i, (_, c) in expected.items() if i == c)
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_texts(spark):
+    """A doc_id on several rows: clean texts stay, near duplicates go, and links of every text count."""
+    base, other = prose(120, 90), prose(120, 91)
+    rows = [(1, base), (5, edited(base, 60, 92)), (5, prose(50, 93)), (5, prose(50, 94)), (5, prose(50, 94)), (7, other), (7, prose(90, 95)), (8, edited(other, 60, 96))]
+    rows += [(9, prose(30, 100 + i)) for i in range(20)] + [(None, base), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {rows[1], rows[7]}
+    left = sorted(near_duplicates.first_of_each(docs, 80).collect(), key=str)
+    assert sorted(map(tuple, left), key=str) == sorted({r for r in rows if r not in gone}, key=str)
+    judged = Counter((r.doc_id, r.component_id) for r in near_duplicates.near_duplicates(docs, 80).collect())
+    assert judged == Counter({(1, 1): 1, (5, 1): 1, (5, 5): 3, (7, 7): 2, (8, 7): 1, (9, 9): 22, (None, None): 1})
+
+
 # --- registered queries
 
 

@@ -1,7 +1,8 @@
 """Near duplicates by MinHash and a multi-index Hamming join.
 
-Texts with equal shingle sets are one node, named by their least doc_id. A node
-has a signature of `SYMBOLS` minimum hashes of `BITS` bits. Two signatures that
+Texts with equal shingle sets are one node with a number of its own, as several
+texts may share a doc_id; its first row is the one of least doc_id and text
+hash. A node has a signature of `SYMBOLS` minimum hashes of `BITS` bits. Two signatures that
 differ in at most r symbols must, when cut into m = r // 2 + 1 chunks, agree in
 some chunk but for one symbol; so each chunk is looked up once for each of its
 symbols left out, which finds all pairs within distance r. r lies `SIGMAS`
@@ -17,8 +18,8 @@ Within a task a pair is looked at only in the first chunk it agrees in.
 
 Defined results: a null or empty text has no shingles and is linked with
 nothing; a text of fewer words than a shingle has its whole sequence as one;
-repeated rows are one node and each row is returned; a null doc_id is linked
-with nothing and not kept as another's representative; other columns are not
+repeated rows are one node and each row is returned; rows that share a doc_id
+are judged by their own texts; a null doc_id is linked with nothing and not kept as another's representative; other columns are not
 read; an empty table gives no rows.
 """
 
@@ -83,6 +84,12 @@ def bucket_keys(signatures: np.ndarray, r: int) -> np.ndarray:
     return out
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, h, text: h tells apart the texts of one doc_id."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def _prints(docs: DataFrame, k: int) -> DataFrame:
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, keys, signs = [], [], []
@@ -91,19 +98,16 @@ def _prints(docs: DataFrame, k: int) -> DataFrame:
             n.append(len(values))
             keys.append(hashlib.md5(values.tobytes()).digest() if len(values) else None)
             signs.append(signature(values).tobytes() if len(values) else None)
-        cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "set_key", "signature"])
+        cols = [batch.column("doc_id"), batch.column("h"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "h", "n_shingles", "set_key", "signature"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(texts, of, "doc_id long, n_shingles long, set_key binary, signature binary", TEXTS)
+    return mapped(_texts(docs), of, "doc_id long, h long, n_shingles long, set_key binary, signature binary", TEXTS)
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """node, signature, values (sorted hashes as bytes) of the nodes in `ids`; of a repeated doc_id, the text with the node's set."""
+    """node, signature, values (sorted hashes as bytes) of the nodes in `ids` (node, doc_id, h, set_key, signature), from their first rows."""
     n = ids.count()
-    wanted = ids.withColumnRenamed("node", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(F.broadcast(wanted) if n <= SMALL_IDS else wanted, "doc_id")
+    chosen = _texts(docs).join(F.broadcast(ids) if n <= SMALL_IDS else ids, ["doc_id", "h"])
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         found, keys, sets = [], batch.column("set_key").to_pylist(), []
@@ -112,7 +116,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             if hashlib.md5(values.tobytes()).digest() == keys[i]:
                 found.append(i)
                 sets.append(values.tobytes())
-        ids, signs = (batch.column(c).take(pa.array(found, pa.int64())) for c in ("doc_id", "signature"))
+        ids, signs = (batch.column(c).take(pa.array(found, pa.int64())) for c in ("node", "signature"))
         return pa.RecordBatch.from_arrays([ids, signs, pa.array(sets, pa.binary())], ["node", "signature", "values"])
 
     return mapped(chosen, of, "node long, signature binary, values binary", TEXTS).dropDuplicates(["node"])
@@ -215,7 +219,7 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
 
     stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     stars = staged(_near(stars, nodes, percent, r), "stars")
-    active = members.select("node").distinct().join(nodes.select("node", "set_key", "signature"), "node")
+    active = members.select("node").distinct().join(nodes.select("node", "doc_id", "h", "set_key", "signature"), "node")
     sets = staged(_sets(docs, active, k), "sets")
     first = staged(_confirmed(stars, sets, percent), "first")
 
@@ -256,33 +260,43 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int, k: int) -> DataFrame:
     return first.unionAll(second).unionAll(third)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def _judged(docs: DataFrame, percent: int, k: int) -> DataFrame:
+    """doc_id, h, n_shingles, first (doc_id, h of its component's first row) of every row; `first` is null for what is linked with nothing."""
     prints = staged(_prints(docs, k), "prints")
     full = prints.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = full.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    nodes = full.groupBy("set_key").agg(F.min(F.struct("doc_id", "h")).alias("least"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    nodes = nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.h", "n", "signature")
     nodes = staged(nodes, "nodes")
     joined = components(links(docs, nodes, percent, k))
-    named = nodes.select("set_key", "node").join(joined, "node", "left")
-    named = named.select("set_key", F.coalesce("component", "node").alias("component"))
+    named = nodes.select("set_key", "node", F.struct("doc_id", "h").alias("least")).join(joined, "node", "left")
+    named = staged(named.select("set_key", "least", F.coalesce("component", "node").alias("component")), "named")
+    first = named.groupBy("component").agg(F.min("least").alias("first"))
+    named = named.select("set_key", "component").join(first, "component").select("set_key", "first")
     out = prints.join(named, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    return out.select("doc_id", "h", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("first")).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, k: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row."""
+    out = _judged(docs, percent, k).select("doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def first_of_each(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
-    """The rows of `docs` that stay when each component keeps its least doc_id; rows repeated in full are kept once.
+    """The rows of `docs` that stay when each component keeps its first row; rows that repeat a doc_id with its text are kept once.
 
-    Rows without a doc_id stay. The ids that go are broadcast only while they are few.
+    Rows without a doc_id stay. The rows that go are broadcast only while they are few.
     """
-    judged = near_duplicates(docs, percent, k)
-    gone = staged(judged.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    judged = _judged(docs, percent, k).filter(F.col("first").isNotNull())
+    key = ["_id", "_h"]
+    gone = judged.filter(F.struct("doc_id", "h") != F.col("first")).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    gone = staged(gone, "gone")
     n = gone.count()
-    rows = docs.join(F.broadcast(gone) if n <= SMALL_IDS else gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
-    again = rows.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_h": F.xxhash64(F.col("text").cast("string"))})
+    rows = keyed.join(F.broadcast(gone) if n <= SMALL_IDS else gone, key, "left_anti").select(*keyed.columns)
+    again = rows.groupBy(*key).count().filter((F.col("count") > 1) & F.col("_id").isNotNull()).select(*key)
     again = staged(again, "again")
     if again.isEmpty():
-        return rows
-    once = rows.join(again, "doc_id", "left_anti").select(*rows.columns)
-    return once.unionByName(rows.join(again, "doc_id", "left_semi").select(*rows.columns).dropDuplicates(["doc_id"]))
+        return rows.select(*docs.columns)
+    once = rows.join(again, key, "left_anti").select(*docs.columns)
+    return once.unionByName(rows.join(again, key, "left_semi").select(*keyed.columns).dropDuplicates(key).select(*docs.columns))
