@@ -420,6 +420,25 @@ def test_license_scan_edges(spark):
     assert len(got) == 8
 
 
+def test_wrapped_notices_are_found(spark):
+    """Notices over several lines, with comment signs, wherever they begin; the same words far apart are none."""
+    rows, expected = [], []
+    for n, (label, text) in enumerate(license_scan.TEMPLATES):
+        words = text.split()
+        wrapped = "\n".join(" * " + " ".join(words[i : i + 4]) for i in range(0, len(words), 4))
+        apart = "\n".join(w + "\n" + prose(30, 7) for w in words)
+        for before in (0, 3, 118, 127, 300):
+            rows.append((len(rows), f"{prose(before, 5)}\n{wrapped}\n{prose(40, 6)}"))
+            expected.append((label, 1.0))
+        rows.append((len(rows), apart))
+        expected.append(("", 0.0))
+    got = sorted(license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    for r, (label, score) in zip(got, expected):
+        assert (label in r.labels.split(",")) if label else r.labels in ("", "gpl")
+        assert r.score == score or r.base_labels
+    assert len(got) == len(rows)
+
+
 # --- op9
 
 

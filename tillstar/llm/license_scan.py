@@ -1,7 +1,10 @@
 """License scan: phrases by place, and templates by an exact set-similarity join.
 
 A text block (a line) matches a template when at least `threshold` of the
-template's distinct words are in the block. Words of the templates are ordered
+template's distinct words are in the block. So does a window of the text's words
+across lines, of the template's length / `threshold`, as notices are wrapped;
+pieces of the word list that overlap by the widest window are blocks too, and
+their candidates are checked window by window. Words of the templates are ordered
 by how often they occur in the whole corpus, rarest first. A block that shares
 `need` of a template's `size` words must hold one of its first
 `size - need + 1`; such prefix words make the candidates. A candidate stays when
@@ -42,11 +45,21 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 THRESHOLD = 0.8
+PIECE = 128
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
+def words_in_order(text: str) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+
+
 def template_words(text: str) -> list[str]:
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())))
+    return sorted(set(words_in_order(text)))
+
+
+def window_width(text: str, threshold: float) -> int:
+    """Words that a template may stretch over, where others stand between its own."""
+    return math.ceil(len(words_in_order(text)) / threshold - 1e-9)
 
 
 def spaced(text: Column) -> Column:
@@ -90,24 +103,42 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
 
     rows = [(p, n, label, len(t), need, i) for n, label, t, need in listed for i, p in enumerate(t[: len(t) - need + 1])]
     index = spark.createDataFrame(rows, "place int, template int, label string, size int, need int, at int")
-    whole = spark.createDataFrame([(n, t) for n, _, t, _ in listed], "template int, members array<int>")
+    widths = [window_width(text, threshold) for _, text in templates]
+    whole = spark.createDataFrame([(n, t, widths[n]) for n, _, t, _ in listed], "template int, members array<int>, width int")
     first = sorted({order[p - 1] for p, *_ in rows})
     least = min(need for *_, need in listed)
 
     key = [F.col("doc_id"), F.xxhash64("text").alias("h"), F.length("text").alias("n_chars")]
     lines = texts.withColumn("joined", spaced(F.col("text"))).filter(F.arrays_overlap(split_words(F.col("joined")), F.lit(first)))
+    whole_words, step = split_words(F.col("joined")), F.lit(PIECE)
+    begins = F.sequence(F.lit(0), F.floor((F.size(whole_words) - 1) / step).cast("int"))
+    pieces = lines.select(*key, F.posexplode(F.transform(begins, lambda i: F.slice(whole_words, i * step + 1, PIECE + max(widths)))).alias("piece", "words"))
+    pieces = pieces.filter(F.arrays_overlap("words", F.lit(first)))
+    spots = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: x["word"].isin(order))
+    spots = F.transform(spots, lambda x: F.struct(x["pos"].alias("pos"), F.array_position(F.lit(order), x["word"]).cast("int").alias("place")))
+    pieces = pieces.select("doc_id", "h", "n_chars", (-1 - F.col("piece")).alias("block"), spots.alias("spots"))
+    pieces = pieces.select("doc_id", "h", "n_chars", "block", F.array_sort(F.array_distinct("spots.place")).alias("places"), "spots")
     lines = lines.select(*key, F.posexplode(F.split("text", block)).alias("block", "line"))
     known = F.filter(split_words(spaced(F.col("line"))), lambda w: w.isin(order))
     places = F.array_sort(F.array_distinct(F.transform(known, lambda w: F.array_position(F.lit(order), w).cast("int"))))
-    blocks = lines.select("doc_id", "h", "n_chars", "block", places.alias("places")).filter(F.size("places") >= least)
+    blocks = lines.select("doc_id", "h", "n_chars", "block", places.alias("places"), F.lit(None).cast("array<struct<pos:int,place:int>>").alias("spots"))
+    blocks = blocks.unionAll(pieces).filter(F.size("places") >= least)
     prefix = F.slice("places", 1, F.size("places") - least + 1)
     seeds = blocks.select("*", F.posexplode(prefix).alias("here", "place"))
     met = seeds.join(F.broadcast(index), "place")
     room = F.least(F.col("size") - F.col("at"), F.size("places") - F.col("here"))
     candidates = met.filter((F.size("places") >= F.col("need")) & (room >= F.col("need")))
-    candidates = candidates.select("doc_id", "h", "n_chars", "block", "places", "template", "label", "size", "need").distinct()
+    candidates = candidates.select("doc_id", "h", "n_chars", "block", "places", "spots", "template", "label", "size", "need").distinct()
     checked = candidates.join(F.broadcast(whole), "template").withColumn("common", F.size(F.array_intersect("places", "members")))
-    matched = checked.filter(F.col("common") >= F.col("need"))
+    checked = checked.filter(F.col("common") >= F.col("need"))
+    checked = checked.withColumn("own", F.filter("spots", lambda x: F.array_contains("members", x["place"])))
+
+    def in_window(x):
+        """Distinct words of the template in the window that begins here."""
+        return F.size(F.array_distinct(F.filter("own", lambda y: (y["pos"] >= x["pos"]) & (y["pos"] < x["pos"] + F.col("width"))).getField("place")))
+
+    best = F.when(F.col("spots").isNull(), F.col("common")).otherwise(F.array_max(F.transform("own", in_window)))
+    matched = checked.withColumn("common", best).filter(F.col("common") >= F.col("need"))
     found = matched.groupBy("doc_id", "h", "n_chars").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("size")).alias("best"))
 
     joined = F.concat(F.lit(" "), F.col("joined"), F.lit(" "))
