@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import license_scan, lm_scoring, lz_fingerprint, mixing, near_duplicates, packing, quality, substring_dedup, topk, warc
+from tillstar.llm import (
+    html_text,
+    license_scan,
+    lm_scoring,
+    lz_fingerprint,
+    mixing,
+    near_duplicates,
+    packing,
+    quality,
+    substring_dedup,
+    topk,
+    warc,
+)
 from tillstar.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -133,6 +145,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -145,6 +161,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_exact_topk": op9_exact_topk,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_html_extraction": op11_html_extraction,
     }
 
 
