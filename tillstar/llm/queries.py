@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
+    collocations,
     html_text,
+    lexical,
     license_scan,
     lm_scoring,
     lz_fingerprint,
@@ -66,6 +68,61 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.a = d.doc_
 """
 
 
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+x AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM t, s GROUP BY term, n_docs),
+q AS (
+  SELECT i, item_id, term, count(*) AS times
+  FROM (
+    SELECT row_number() OVER () AS i, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+  ) GROUP BY i, item_id, term
+), m AS (SELECT r, doc_id, 100 - 25 + (25 * CAST(len(w) AS BIGINT) * n_docs) // total AS m FROM d, s WHERE len(w) > 0),
+f AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN x USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY i, item_id, r, doc_id
+), k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM f WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+PHRASES_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(w[CAST(i AS BIGINT) : CAST(i + k - 1 AS BIGINT)], ' ') AS phrase
+  FROM w, unnest(range(1, len(w) + 1)) AS t(i), (VALUES (1), (2), (3)) AS s(k) WHERE i + k - 1 <= len(w)
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+u AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r, CAST((c.a::HUGEINT * c.a * 1000000) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM (SELECT c.*, unnest(range(1, k)) AS cut FROM c) AS c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : CAST(cut AS BIGINT)], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[CAST(cut + 1 AS BIGINT) :], ' ')
+), b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+h AS (
+  SELECT lang, array_to_string(w[CAST(i AS BIGINT) : CAST(i + 1 AS BIGINT)], ' ') AS phrase, max(a) AS longer
+  FROM c, (VALUES (1), (2)) AS t(i) WHERE k = 3 GROUP BY ALL
+), o AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score
+  FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
+"""
+
+
 def _license_sql() -> str:
     """Phrases by place and templates by containment, line by line, without the join's filters."""
     lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -149,6 +206,14 @@ def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -162,8 +227,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_topk": op9_exact_topk,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
         "op11_html_extraction": op11_html_extraction,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_phrase_collocations": op13_phrase_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_license_scan": _license_sql(), "op9_exact_topk": TOP_K_SQL, "op10_minhash_near_dedup": NEAR_SQL}
+    return {
+        "op8_license_scan": _license_sql(),
+        "op9_exact_topk": TOP_K_SQL,
+        "op10_minhash_near_dedup": NEAR_SQL,
+        "op12_lexical_search": SEARCH_SQL,
+        "op13_phrase_collocations": PHRASES_SQL,
+    }
