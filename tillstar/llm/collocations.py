@@ -44,12 +44,12 @@ WITHIN = 50
 #: Capacity of a merged summary in units of its mass divided by the threshold.
 SLACK = 4
 #: Phrases of a hash partition, about.
-PART_MASS = 1 << 22
+PART_MASS = 1 << 21
 #: Largest bit map of hashes; 16 MiB.
 MAP_BITS = 1 << 27
 #: Words that a task counts before it sends a summary, and texts it turns into objects at a time.
 FLUSH = 1 << 20
-TEXTS = 1000
+TEXTS = 500
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z in lower case, breaks as line ends, tabs as blanks; no other byte separates words.
@@ -89,9 +89,6 @@ class Words:
 
     def __init__(self, lang: str, frequent: Bits | None):
         self.lang, self.seed, self.frequent = lang, _seed(lang), frequent
-        self.reset()
-
-    def reset(self) -> None:
         self.ids: dict[bytes, int] = {BREAK: 0}
         self.runs: list[np.ndarray] = []
         self.n = 0
@@ -131,9 +128,8 @@ def _languages(batches: Iterator[pa.RecordBatch], frequent: Bits | None) -> Iter
             for lang in langs.unique().to_pylist():
                 words = held.setdefault(lang, Words(lang, frequent))
                 words.add(texts.filter(pc.equal(langs, lang)).fill_null(b"").to_pylist())
-        while sum(w.n for w in held.values()) >= FLUSH:
-            words = held.pop(max(held, key=lambda lang: held[lang].n))
-            yield words
+            while sum(w.n for w in held.values()) >= FLUSH:
+                yield held.pop(max(held, key=lambda lang: held[lang].n))
     yield from (w for w in held.values() if w.n)
 
 
