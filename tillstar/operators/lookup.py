@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
@@ -16,14 +16,20 @@ def small_enough(
 ) -> set[str]:
     """Names of the frames that are small enough to copy to every executor, measured in one job.
 
-    Each frame is one partial aggregate. Strings count by length, other values as 8 bytes.
+    Each frame is one partial aggregate. Texts and binaries count by length, arrays, maps and structs by that of their JSON,
+    wide decimals as 16 bytes and other values as 8.
     """
 
+    def size(field) -> Column:
+        kind = field.dataType.typeName()
+        if kind in ("string", "varchar", "char", "binary"):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if kind in ("array", "map", "struct", "variant"):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+        return F.lit(16 if kind == "decimal" and field.dataType.precision > 18 else 8)
+
     def size_of(name: str, df: DataFrame) -> DataFrame:
-        sizes = [
-            F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8)
-            for f in df.schema.fields
-        ]
+        sizes = [size(f) for f in df.schema.fields]
         width = reduce(lambda a, b: a + b, sizes).cast("bigint")
         return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).withColumn("name", F.lit(name))
 
@@ -67,9 +73,11 @@ def lookup(
     )
 
 
-def join_date(df: DataFrame, dim_date: DataFrame, how: str = "left", date_col: str = "transaction_date") -> DataFrame:
-    """A calendar holds some 366 rows a year, so it is always broadcast."""
-    return lookup(df, dim_date, {date_col: "full_date"}, ["date_key"], how, small=True)
+def join_date(
+    df: DataFrame, dim_date: DataFrame, how: str = "left", date_col: str = "transaction_date", small: bool | None = None
+) -> DataFrame:
+    """Key of the row's day. A calendar spans the dates of the data, one of which may lie far off, so it is measured."""
+    return lookup(df, dim_date, {date_col: "full_date"}, ["date_key"], how, small=small)
 
 
 def join_category(df: DataFrame, dim_category: DataFrame, how: str = "left", small: bool | None = None) -> DataFrame:
@@ -101,15 +109,83 @@ def join_card(df: DataFrame, dim_card: DataFrame, how: str = "left", small: bool
 def join_merchant_asof(
     df: DataFrame, dim_merchant: DataFrame, date_col: str = "transaction_date", small: bool | None = None
 ) -> DataFrame:
-    """Merchant version that was in force on the row's date."""
-    return lookup(
-        df,
-        dim_merchant,
-        {"normalized_merchant": "merchant_name"},
-        {"merchant_key": "merchant_key", "merchant_category": "category_then"},
-        between=(date_col, "effective_date", "expiration_date"),
-        small=small,
+    """Merchant version that was in force on the row's date.
+
+    Versions that are known or measured to be small are broadcast; others are merged with the rows by date.
+    """
+    on, take = {"normalized_merchant": "merchant_name"}, {"merchant_key": "merchant_key", "merchant_category": "category_then"}
+    period = (date_col, "effective_date", "expiration_date")
+    needed = dim_merchant.select("merchant_name", *take, *period[1:])
+    if small_enough({"side": needed}) if small is None else small:
+        return lookup(df, dim_merchant, on, take, between=period, small=True)
+    return merge_asof(df, dim_merchant, on, take, period)
+
+
+def merge_asof(
+    left: DataFrame,
+    versions: DataFrame,
+    on: dict[str, str],
+    take: dict[str, str],
+    between: tuple[str, str, str],
+    stretch: str = "quarter",
+) -> DataFrame:
+    """Add the columns `take` of the version in force, by one ordered pass over rows and versions together.
+
+    Both are put in one table, ordered by date within a member, and each row
+    takes the last version before it; no pair of a row and a version is made.
+    A member's dates are cut into stretches of time, so that a member with much
+    of the data is many groups; a version also enters at the start of every
+    later stretch that it reaches, up to the last one with a row. Versions of a
+    member may not overlap. Rows without a date or member get NULL.
+    """
+    date, start, until = between
+    last = left.agg(F.max(date).alias("last")).scalar()
+    first = left.agg(F.min(date).alias("first")).scalar()
+    keys = [f"_k{i}" for i in range(len(on))]
+    row = F.struct(*[F.col(c) for c in left.columns]).alias("_row")
+    rows = left.select(
+        *[F.col(c).alias(k) for c, k in zip(on, keys)],
+        F.trunc(date, stretch).alias("_stretch"),
+        F.col(date).cast("date").alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast("struct<" + ", ".join(f"{c}: {versions.schema[c].dataType.simpleString()}" for c in [*take, until]) + ">").alias("_version"),
+        row,
+    )
+    # from the version's own stretch, or that of the first row, to that of its last day or of the last row
+    began = F.greatest(F.col(start), F.least(first, F.col(until)))
+    ends = F.least(F.date_sub(F.col(until), 1), last)
+    months = F.expr(f"INTERVAL {dict(month=1, quarter=3, year=12)[stretch]} MONTHS")
+    reached = F.when(began <= ends, F.sequence(F.trunc(began, stretch), F.trunc(ends, stretch), months))
+    entries = versions.select(
+        *[F.col(d).alias(k) for d, k in zip(on.values(), keys)],
+        F.explode(reached).alias("_stretch"),
+        F.col(start).alias("_at"),
+        F.lit(0).alias("_kind"),
+        F.struct(*[F.col(c) for c in [*take, until]]).alias("_version"),
+        F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"),
     )
+    window = Window.partitionBy(*keys, "_stretch").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    carried = rows.unionByName(entries).withColumn("_held", F.last("_version", ignorenulls=True).over(window))
+    found = carried.filter("_kind = 1")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col("_at") < F.col(f"_held.{until}"))
+    return found.select("_row.*", *[F.when(known, F.col(f"_held.{c}")).alias(alias) for c, alias in take.items()])
+
+
+def categorize(
+    df: DataFrame,
+    mapping: DataFrame,
+    name: str = "normalized_merchant",
+    default: str = "Uncategorized",
+    small: bool | None = None,
+) -> DataFrame:
+    """Add `assigned_category` from a table of `merchant_name` and `category`; merchants it lacks get the default.
+
+    A name may stand in the table once. Which rows were found is in `is_mapped`.
+    """
+    found = lookup(df, mapping, {name: "merchant_name"}, {"category": "_category"}, small=small)
+    return found.withColumns(
+        {"assigned_category": F.coalesce("_category", F.lit(default)), "is_mapped": F.col("_category").isNotNull()}
+    ).drop("_category")
 
 
 def detect_changes(source: DataFrame, target: DataFrame, key: str, attrs: list[str]) -> DataFrame:

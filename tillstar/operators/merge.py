@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.keys import content_key
+from tillstar.operators.bloom import may_be_among
 from tillstar.operators.keys import assert_unique
 from tillstar.operators.lookup import small_enough
-from tillstar.sources.tables import materialize, read_table, remove_slice, replace_slices
+from tillstar.sources.tables import materialize, read_table, remove_slice, replace_slices, within_slices
 
 OPEN_END = date(9999, 12, 31)
 BOOTSTRAP_START = date(2000, 1, 1)
@@ -33,15 +33,39 @@ def upsert(
 ) -> DataFrame:
     """Every source row, and the target rows whose key the source does not have.
 
-    When the source's keys are known or measured to be small, they are
-    broadcast and the target does not shuffle.
+    A source that is to be checked or measured is written once first, so that
+    its lineage runs once. When its keys are known or measured to be small,
+    they are broadcast and the target does not shuffle. Otherwise a Bloom
+    filter of the keys parts the target: rows that can't have one of them stay
+    without a shuffle, and only the others meet the source in a join. Sources
+    with more keys than the filter takes shuffle both sides.
     """
+    if check or small is None:
+        source = materialize(source, "upsert_source")
     if check:
         assert_unique(source, keys, "upsert source")
     incoming = source.select(*keys)
     if small_enough({"keys": incoming}) if small is None else small:
-        incoming = F.broadcast(incoming)
-    return target.join(incoming, keys, "left_anti").unionByName(source)
+        return target.join(F.broadcast(incoming), keys, "left_anti").unionByName(source)
+    held = may_be_among(incoming, keys, incoming.count())
+    if held is None:
+        return target.join(incoming, keys, "left_anti").unionByName(source)
+    replaced = target.filter(held).join(incoming, keys, "left_anti")
+    return target.filter(~held).unionByName(replaced).unionByName(source)
+
+
+def upsert_bucketed(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The upsert of a source of any size into a bucketed table: the source alone is shuffled, into the table's buckets.
+
+    `target` comes from `read_bucketed`. A row of either side meets its counterpart in one full join, and a task of the result
+    holds the rows of one bucket, so that `write_bucketed` makes one file of it.
+    """
+    source = materialize(source.select(*target.columns), "upsert_source")
+    assert_unique(source, keys, "upsert source")
+    rest = [c for c in target.columns if c not in keys]
+    new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in rest], F.lit(True).alias("_seen"))
+    both = target.hint("merge").join(new, keys, "full_outer")
+    return both.select(*[F.col(c) if c in keys else F.when(F.col("_seen"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in target.columns])
 
 
 # --- type 2 dimensions ------------------------------------------------------------------------
@@ -141,6 +165,21 @@ def newer_than(df: DataFrame, target: DataFrame, watermark: str) -> DataFrame:
     return df if last is None else df.filter(F.col(watermark) > F.lit(last))
 
 
+def touched_slices(target: DataFrame, source: DataFrame, keys: list[str], partitions: tuple[str, ...]) -> set[tuple]:
+    """Partitions that the source writes to, and those of the target where its keys sit now.
+
+    Of the target only keys are read, and a Bloom filter of the source's keys
+    lets few of them reach the join. One tuple per partition, which is what a
+    driver holds for any scan. `source` is read several times.
+    """
+    incoming = source.select(*keys)
+    held = may_be_among(incoming, keys, incoming.count())
+    there = target.select(*keys, *partitions)
+    sits = (there if held is None else there.filter(held)).join(incoming, keys, "left_semi")
+    places = source.select(*partitions).distinct().union(sits.select(*partitions).distinct())
+    return {tuple(row) for row in places.distinct().collect()}
+
+
 def upsert_slices(
     spark: SparkSession,
     path: str,
@@ -148,6 +187,7 @@ def upsert_slices(
     keys: list[str],
     partitions: tuple[str, ...],
     keys_can_move: bool = True,
+    staged: bool = False,
 ) -> None:
     """Upsert into the partitions of `path` that the source touches; all others stay unread.
 
@@ -155,30 +195,21 @@ def upsert_slices(
     those where its keys sit now (found by scanning the key column only). A
     partition that the upsert leaves empty is removed after the others are
     written; a run that dies in between leaves the moved rows in both places,
-    and the same upsert again mends it.
+    and the same upsert again mends it. A source that is `staged` already is
+    read as it is.
     """
-    assert_unique(source, keys, "upsert source")
     target = read_table(spark, path)
-    source = materialize(source.select(*target.columns), "upsert_source")
-    places = source.select(*partitions).distinct()
+    source = source.select(*target.columns)
+    source = source if staged else materialize(source, "upsert_source")
+    assert_unique(source, keys, "upsert source")
     if keys_can_move:
-        sits = target.select(*keys, *partitions).join(source.select(*keys), keys, "left_semi")
-        places = places.union(sits.select(*partitions)).distinct()
-    # One row per partition directory, a list the driver holds for any scan; as a
-    # literal predicate it prunes directories.
-    touched = {tuple(row) for row in places.collect()}
+        touched = touched_slices(target, source, keys, partitions)
+    else:
+        touched = {tuple(row) for row in source.select(*partitions).distinct().collect()}
     if not touched:
         return
-    within = target.filter(
-        reduce(
-            lambda a, b: a | b,
-            [
-                reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partitions, place)])
-                for place in touched
-            ],
-        )
-    )
-    merged = materialize(upsert(within, source, keys, check=False), "merged")
+    few = bool(small_enough({"keys": source.select(*keys)}))
+    merged = materialize(upsert(within_slices(target, partitions, touched), source, keys, check=False, small=few), "merged")
     filled = {tuple(row) for row in merged.select(*partitions).distinct().collect()}
     replace_slices(merged, path, partitions)
     for place in touched - filled:

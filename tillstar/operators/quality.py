@@ -1,7 +1,9 @@
 """Data-quality checks over every row.
 
-All row rules of a layer share one aggregate pass; each uniqueness rule is one
-further grouped count. Only one small row per check leaves the executors.
+All row rules of a layer share one aggregate pass, which can be the write of
+the layer itself (`Watch`); each uniqueness rule is one further grouped count.
+All foreign keys of a fact table share one pass. Only one small row per check
+leaves the executors.
 """
 
 from __future__ import annotations
@@ -9,11 +11,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from tillstar.sources.schemas import CARD_TRANSACTION
+from tillstar.sources.tables import small_table
 
 # Accepted ranges and sets.
 AMOUNT_RANGE = (1, 10_000_000)
@@ -100,27 +103,36 @@ def dimension_checks(name: str) -> list[Check]:
     return [*required(*columns), *unique(columns[0])]
 
 
+RESULT = "layer string, check_name string, column_name string, failed_rows bigint, passed boolean"
+
+
+def _scanned(df: DataFrame, checks: list[Check]) -> list[Check]:
+    """The row and schema rules that apply to `df`: a rule on a column that does not exist is left out."""
+    return [c for c in checks if c.name != "unique" and (c.bad is None or c.column in df.columns)]
+
+
+def _in_schema(df: DataFrame, check: Check) -> int:
+    """Failures of a rule on the schema alone."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if check.name == "column_type":
+        return int(types.get(check.column) != check.dtype)
+    return int(check.column not in types)
+
+
 def run_checks(df: DataFrame, layer: str, checks: list[Check]) -> DataFrame:
     """One row per check: layer, check_name, column_name, failed_rows, passed.
 
     A rule on a column that does not exist is left out; `required` reports the column.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
     frames = []
-
-    scanned = [c for c in checks if c.name != "unique" and (c.bad is None or c.column in types)]
+    scanned = _scanned(df, checks)
     if scanned:
         counts = [F.count_if(c.bad).alias(f"_{i}") for i, c in enumerate(scanned) if c.bad is not None]
         # The row count keeps one row when all rules concern the schema only.
         totals = df.agg(F.count(F.lit(1)).alias("_rows"), *counts)
         rows = []
         for i, check in enumerate(scanned):
-            if check.bad is not None:
-                failed = F.col(f"_{i}")
-            elif check.name == "column_type":
-                failed = F.lit(int(types.get(check.column) != check.dtype))
-            else:
-                failed = F.lit(int(check.column not in types))
+            failed = F.lit(_in_schema(df, check)) if check.bad is None else F.col(f"_{i}")
             rows.append(
                 F.struct(
                     F.lit(check.name).alias("check_name"),
@@ -131,7 +143,7 @@ def run_checks(df: DataFrame, layer: str, checks: list[Check]) -> DataFrame:
         frames.append(totals.select(F.inline(F.array(*rows))))
 
     for check in checks:
-        if check.name == "unique" and check.column in types:
+        if check.name == "unique" and check.column in df.columns:
             frames.append(_beyond_first(df, check.column))
 
     found = reduce(DataFrame.unionByName, frames)
@@ -144,6 +156,56 @@ def run_checks(df: DataFrame, layer: str, checks: list[Check]) -> DataFrame:
     )
 
 
+class Watch:
+    """The checks of a layer, counted while the layer is written: `over` the frame that the write takes, `results` after it.
+
+    Row rules are metrics of the write's own pass. Put it last, after any shuffle, so that a task that is run again counts
+    once. Uniqueness, which no single pass can tell, is left to `watched_results`, which reads the one column of what was written.
+    """
+
+    def __init__(self, layer: str, checks: list[Check]):
+        self.layer, self.checks = layer, checks
+        self.observation = Observation()
+        self.scanned: list[Check] = []
+        self.in_schema: dict[int, int] = {}
+
+    def over(self, df: DataFrame) -> DataFrame:
+        self.scanned = _scanned(df, self.checks)
+        self.in_schema = {i: _in_schema(df, c) for i, c in enumerate(self.scanned) if c.bad is None}
+        counts = [F.count_if(c.bad).alias(f"_{i}") for i, c in enumerate(self.scanned) if c.bad is not None]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("_rows"), *counts)
+
+    @property
+    def rows(self) -> int:
+        """Rows of the write that has ended."""
+        return self.observation.get["_rows"]
+
+    def results(self) -> list[tuple]:
+        """The rows that `run_checks` gives for row and schema rules, a few dozen."""
+        found = self.observation.get
+        failed = [self.in_schema[i] if c.bad is None else found[f"_{i}"] for i, c in enumerate(self.scanned)]
+        return [(self.layer, c.name, c.column, n, n == 0) for c, n in zip(self.scanned, failed)]
+
+
+def watched_results(written: dict[str, tuple[Watch, DataFrame]]) -> list[tuple]:
+    """All checks of layers that were written under watch; the uniqueness rules of all layers are one job."""
+    rows = [row for watch, _ in written.values() for row in watch.results()]
+    keys = {name: (df, [c for c in watch.checks if c.name == "unique"]) for name, (watch, df) in written.items()}
+    keys = {name: (df, checks) for name, (df, checks) in keys.items() if checks}
+    return rows + ([tuple(r) for r in validate_layers(keys).collect()] if keys else [])
+
+
+class Refused(ValueError):
+    """A layer that failed its checks and was not published."""
+
+
+def refuse(results: list[tuple], rules: tuple[str, ...]) -> None:
+    """Raise when a check by one of these names has failed."""
+    failed = [f"{layer}.{column}: {check} ({n} rows)" for layer, check, column, n, passed in results if not passed and check in rules]
+    if failed:
+        raise Refused(f"not published: {', '.join(failed)}")
+
+
 def _beyond_first(df: DataFrame, col: str) -> DataFrame:
     """Rows beyond the first of each value; NULL counts as one value."""
     copies = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
@@ -152,6 +214,67 @@ def _beyond_first(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+#: Foreign keys of the facts: dimension and key there.
+REFERENCES = {
+    "date_key": ("dim_date", "date_key"),
+    "category_key": ("dim_category", "category_key"),
+    "merchant_key": ("dim_merchant", "merchant_key"),
+    "card_key": ("dim_card", "card_key"),
+}
+
+
+def dangling_keys(fact: DataFrame, members: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Keys of the facts that name no member, with the rows that have them: column_name, member, rows.
+
+    `members` names the dimension and its key for each foreign key. One scan of the facts counts every key first, so that a
+    hot key is a row per task before anything moves; the join sees distinct keys only. A NULL key names nothing and is left
+    to `foreign_keys`.
+    """
+    kinds = {fact.schema[fk].dataType.typeName() for fk in members}
+    kind = "bigint" if kinds <= {"byte", "short", "integer", "long"} else "string"
+    pairs = [F.struct(F.lit(fk).alias("column_name"), F.col(fk).cast(kind).alias("member")) for fk in members]
+    used = fact.select(F.inline(F.array(*pairs))).filter("member IS NOT NULL")
+    used = used.groupBy("column_name", "member").agg(F.count(F.lit(1)).alias("rows"))
+    known = reduce(
+        DataFrame.unionAll,
+        [dim.select(F.lit(fk).alias("column_name"), F.col(pk).cast(kind).alias("member")) for fk, (dim, pk) in members.items()],
+    )
+    return used.join(known, ["column_name", "member"], "left_anti")
+
+
+def referential(fact: DataFrame, layer: str, members: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One check per foreign key: fact rows whose key has no member."""
+    every = small_table(fact.sparkSession, [(fk,) for fk in members], "column_name string")
+    failed = dangling_keys(fact, members).groupBy("column_name").agg(F.sum("rows").alias("_n"))
+    n = F.coalesce("_n", F.lit(0)).cast("bigint")
+    return every.join(failed, "column_name", "left").select(
+        F.lit(layer).alias("layer"), F.lit("referential").alias("check_name"), "column_name", n.alias("failed_rows"), (n == 0).alias("passed")
+    )
+
+
+def scd2_check(dim: DataFrame, layer: str, key: str = "merchant_name") -> DataFrame:
+    """One check: members whose versions overlap, are empty, or are not open exactly once."""
+    n = F.count(F.lit(1)).cast("bigint")
+    return scd2_violations(dim, key).agg(n.alias("failed_rows")).select(
+        F.lit(layer).alias("layer"),
+        F.lit("scd2_integrity").alias("check_name"),
+        F.lit(key).alias("column_name"),
+        "failed_rows",
+        (F.col("failed_rows") == 0).alias("passed"),
+    )
+
+
+def validate_star(tables: dict[str, DataFrame], date_keys: tuple[int, int] = DATE_KEY_RANGE) -> DataFrame:
+    """Every check of the pipeline's tables: those of each layer, all references of the facts, and the merchants' history."""
+    found = validate_layers(standard_layers(tables, date_keys))
+    members = {fk: (tables[dim], pk) for fk, (dim, pk) in REFERENCES.items() if dim in tables}
+    if "fact_transactions" in tables and members:
+        found = found.unionByName(referential(tables["fact_transactions"], "fact_transactions", members))
+    if "dim_merchant" in tables:
+        found = found.unionByName(scd2_check(tables["dim_merchant"], "dim_merchant"))
+    return found
+
+
 def validate_layers(layers: dict[str, tuple[DataFrame, list[Check]]]) -> DataFrame:
     """The checks of several layers as one table."""
     return reduce(DataFrame.unionByName, [run_checks(df, name, checks) for name, (df, checks) in layers.items()])
