@@ -13,12 +13,11 @@ import sys
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillstar.operators import quality
 from tillstar.plans import medallion, reports
-from tillstar.plans.dimensions import dim_date_covering
 from tillstar.sources import generator, tables
+from tillstar.streaming import ingest
 
 
 def _arguments() -> argparse.Namespace:
@@ -37,6 +36,7 @@ def _arguments() -> argparse.Namespace:
     run.add_argument("output")
     run.add_argument("--mode", choices=["full", "incremental", "one-pass", "hash", "window"], default="full")
     run.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+    run.add_argument("--history", action="store_true", help="facts point to the merchant version of their own date")
     run.add_argument("--codec", default="snappy")
 
     report = commands.add_parser("report", help="print the spending reports of a full run")
@@ -46,23 +46,30 @@ def _arguments() -> argparse.Namespace:
     validate = commands.add_parser("validate", help="check every layer of a full run; exit code 1 on failure")
     validate.add_argument("output")
     validate.add_argument("--reports", help="folder for the JSON report")
+    low, high = quality.DATE_KEY_RANGE
+    validate.add_argument("--first-day", type=int, default=low, help=f"least date key, yyyymmdd (default {low})")
+    validate.add_argument("--last-day", type=int, default=high, help=f"greatest date key, yyyymmdd (default {high})")
+
+    stream = commands.add_parser("stream", help="bring new files of a folder into the star schema, each once")
+    stream.add_argument("feed")
+    stream.add_argument("output")
+    stream.add_argument("--checkpoint", required=True, help="folder that remembers the files taken")
+    stream.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+    stream.add_argument("--history", action="store_true")
     return parser.parse_args()
 
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.mode == "full":
-        medallion.run_full(spark, args.feed, args.output, args.as_of)
-        return
-    if args.mode == "incremental":
-        medallion.run_incremental(spark, args.output, args.as_of, args.feed)
-        return
-    raw = tables.read_table(spark, args.feed)
-    if args.mode == "one-pass":
-        fact = medallion.run_one_pass(raw, dim_date_covering(raw))
-        tables.write_table(fact, args.output, medallion.MONTHS, codec=args.codec)
+        medallion.run_full(spark, args.feed, args.output, args.as_of, history=args.history)
+    elif args.mode == "incremental":
+        medallion.run_incremental(spark, args.output, args.as_of, args.feed, history=args.history)
+    elif args.mode == "one-pass":
+        medallion.write_one_pass(spark, args.feed, args.output, args.codec)
+    elif args.mode == "hash":
+        medallion.write_hash_mart(spark, args.feed, args.output, args.codec)
     else:
-        mart = medallion.run_hash_mart(raw) if args.mode == "hash" else medallion.run_window_mart(raw)
-        tables.export(mart, args.output, args.codec)
+        tables.export(medallion.run_window_mart(tables.read_table(spark, args.feed)), args.output, args.codec)
 
 
 def _print(df: DataFrame) -> None:
@@ -91,10 +98,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _validate(spark: SparkSession, args: argparse.Namespace) -> bool:
     found = medallion.load_star(spark, args.output)
-    bounds = found["dim_date"].agg(F.min("date_key"), F.max("date_key")).first()
-    results = tables.materialize(
-        quality.validate_layers(quality.standard_layers(found, tuple(bounds))), "quality"
-    )
+    results = tables.materialize(quality.validate_star(found, (args.first_day, args.last_day)), "quality")
     if args.reports:
         quality.write_report(results, args.reports)
     _print(quality.summarize(results))
@@ -109,6 +113,9 @@ def main() -> int:
         tables.write_table(feed, args.output)
     elif args.command == "run":
         _run(spark, args)
+    elif args.command == "stream":
+        schema = tables.read_table(spark, args.feed).schema
+        ingest.merge_new_files(spark, args.feed, schema, args.output, args.checkpoint, args.as_of, args.history)
     elif args.command == "report":
         _report(spark, args)
     else:

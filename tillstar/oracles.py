@@ -287,6 +287,53 @@ def _upserted(rows: str, cut: str = "2001-01-01", overlap: str = "2000-10-01") -
   SELECT {rows}, CASE WHEN transaction_date >= DATE '{overlap}' THEN amount + 1 ELSE amount END AS amount FROM silver"""
 
 
+def _valid_first(feed: str, later_first: str = "") -> str:
+    """Valid rows of a feed in silver's columns, the first copy of each transaction."""
+    order = f"{later_first}{_ORDER}"
+    rows = _first_copy(f"({feed} WHERE amount > 0 AND transaction_date IS NOT NULL AND merchant_name IS NOT NULL)", order)
+    return f"SELECT *, {_normalized()} AS normalized_merchant FROM ({rows})"
+
+
+def _stream_merge() -> str:
+    """Three files one after the other: of a transaction, the copy of the latest file that has it."""
+    feed = """SELECT * FROM (
+          SELECT *, 1 AS file FROM raw_txn WHERE transaction_date < DATE '2001-01-01'
+          UNION ALL SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(15,2)) AS amount), 2 FROM raw_txn WHERE transaction_date >= DATE '2000-10-01'
+          UNION ALL SELECT *, 3 FROM raw_txn WHERE transaction_date < DATE '1996-01-01')"""
+    return _with(
+        f"""SELECT transaction_id, {_int('year(transaction_date)')} AS year, {_int('month(transaction_date)')} AS month,
+                   {_int("strftime(transaction_date, '%Y%m%d')")} AS date_key, {_key('merchant_category')} AS category_key,
+                   {_key('normalized_merchant', 'merchant_category', "DATE '1995-01-01'")} AS merchant_key, amount
+            FROM ({_valid_first(feed, 'file DESC, ')})""",
+        "raw_txn", double=_AMOUNT,
+    )
+
+
+def _asof_run() -> str:
+    """Each fact points to its merchant's version of the day: the first load's, or that of a merchant new or moved in the second."""
+    recat = "CASE WHEN merchant_category LIKE 'ASIA%' THEN 'RECLASS-' || merchant_category ELSE merchant_category END"
+    early = "SELECT * FROM raw_txn WHERE transaction_date < DATE '2001-01-01'"
+    late = f"SELECT * REPLACE ({recat} AS merchant_category) FROM raw_txn WHERE transaction_date >= DATE '2000-10-01'"
+    members = "SELECT DISTINCT normalized_merchant AS name, merchant_category AS category FROM"
+    return _with(
+        f"""WITH e AS ({_valid_first(f'SELECT * FROM ({early})')}), l AS ({_valid_first(f'SELECT * FROM ({late})')}),
+            a AS ({members} e), b AS ({members} l),
+            v AS (
+              SELECT a.name, a.category, DATE '1995-01-01' AS start,
+                     CASE WHEN b.category <> a.category THEN DATE '2001-01-01' ELSE DATE '9999-12-31' END AS until
+              FROM a LEFT JOIN b ON a.name = b.name
+              UNION ALL
+              SELECT b.name, b.category, DATE '2001-01-01', DATE '9999-12-31' FROM b LEFT JOIN a ON a.name = b.name
+              WHERE a.name IS NULL OR a.category <> b.category),
+            s AS (SELECT * FROM l UNION ALL SELECT * FROM e WHERE transaction_id NOT IN (SELECT transaction_id FROM l))
+            SELECT transaction_id, {_int('year(transaction_date)')} AS year, {_int('month(transaction_date)')} AS month,
+                   {_int("strftime(transaction_date, '%Y%m%d')")} AS date_key, {_key('merchant_category')} AS category_key,
+                   CASE WHEN v.name IS NOT NULL THEN {_key('v.name', 'v.category', 'v.start')} END AS merchant_key, amount
+            FROM s LEFT JOIN v ON s.normalized_merchant = v.name AND transaction_date >= start AND transaction_date < until""",
+        "raw_txn", double=_AMOUNT,
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -384,7 +431,7 @@ def oracle_sql() -> dict[str, str]:
         "suppliers", double=_AMOUNT, text=_DAY,
     )
     sql["src_15_catalog_filter"] = _with(f"SELECT * FROM ({catalog}) WHERE category = 'ASIA'", "suppliers")
-    sql["src_16_compact"] = sql["src_1_scan_raw"]
+    sql["src_16_compact"] = sql["src_16_zorder"] = sql["src_1_scan_raw"]
     sql["src_17_snapshot"] = _with(
         f"""SELECT 'earlier' AS snapshot, count(*) AS row_count, {_sum()} AS amount FROM silver WHERE {old}
             UNION ALL SELECT 'latest', count(*), {_sum()} FROM silver""",
@@ -522,7 +569,7 @@ def oracle_sql() -> dict[str, str]:
            FROM suppliers WHERE s_suppkey % 10 = 0""",
         "suppliers",
     )
-    sql["jon_9_asof"] = _with(
+    sql["jon_9_asof"] = sql["jon_9_asof_merged"] = _with(
         """SELECT transaction_id, transaction_date, normalized_merchant, merchant_key,
                   scd2.merchant_category AS category_then FROM silver
            LEFT JOIN scd2 ON normalized_merchant = scd2.merchant_name
@@ -558,6 +605,7 @@ def oracle_sql() -> dict[str, str]:
     sql["mrg_2_upsert"] = sql["mrg_6_upsert_slices"] = _with(
         _upserted("transaction_id, transaction_date, year, month"), "silver", double=_AMOUNT, text=_DAY
     )
+    sql["mrg_2_large_source"] = sql["mrg_2_bucketed"] = sql["mrg_2_upsert"]
     sql["mrg_3_scd2"] = sql["mrg_3_scd2_repeated"] = _with("SELECT * FROM scd2", "scd2", text=_VALIDITY)
     sql["mrg_4_scd2_init"] = _with(
         f"""SELECT {_key('merchant_name', 'merchant_category', "DATE '2000-01-01'")} AS merchant_key, *,
@@ -638,6 +686,19 @@ def oracle_sql() -> dict[str, str]:
               USING (normalized_merchant)""",
         "fact", double=_AMOUNT,
     )
+    sql["bld_8_disjoint_years"] = _with(
+        " UNION ALL ".join(
+            f"SELECT {y} AS year, {m} AS month, count(*) AS row_count, {_sum()} AS amount, '{name}' AS layer FROM {table} GROUP BY 1, 2"
+            for name, table, y, m in (
+                ("bronze", "raw_txn", _int("year(transaction_date)"), _int("month(transaction_date)")),
+                ("silver", "silver", "year", "month"),
+                ("fact_transactions", "silver", "year", "month"),
+            )
+        ),
+        "silver", double=_AMOUNT,
+    )
+    sql["bld_8_asof_run"] = _asof_run()
+    sql["str_1_stream_merge"] = _stream_merge()
     # Of a transaction that both feeds hold, the copy of the later feed stays.
     by = "PARTITION BY transaction_id ORDER BY "
     sql["mrg_6_run_incremental"] = sql["bld_8_second_run"].replace(by, f"{by}transaction_date < DATE '2001-01-01', ")
@@ -682,6 +743,19 @@ def oracle_sql() -> dict[str, str]:
         "fact",
     )
 
+    sql["bld_9_one_pass_star"] = _with(
+        f"""SELECT transaction_id, date_key, merchant_category AS category_name, split_part(merchant_category, '-', 1) AS level_1,
+                   nullif(split_part(merchant_category, '-', 2), '') AS level_2, merchant_name,
+                   CASE WHEN merchant_name IS NOT NULL THEN merchant_category END AS merchant_category, amount
+            FROM ({_first_copy(loose)}) LEFT JOIN dim_date ON transaction_date = full_date""",
+        "dim_date", double=_AMOUNT,
+    )
+    sql["bld_10_mart_star"] = _with(
+        f"""SELECT transaction_id, {year_month}, merchant_category AS category_name, merchant_name, merchant_category, amount
+            FROM {_MART_ROWS} WHERE merchant_name IS NOT NULL""",
+        "raw_txn", double=_AMOUNT,
+    )
+
     # reports
     n = "count(*) AS txn_count"
     sql["rpt_1_monthly_summary"] = _with(
@@ -714,6 +788,19 @@ def oracle_sql() -> dict[str, str]:
               FROM by_category GROUP BY level_1)""",
         "by_category", double=_TOTAL,
     )
+    levels = " UNION ALL ".join(
+        f"""SELECT {level} AS level, {c} AS category, {s} AS subcategory, {n}, {_sum()} AS total_amount, {_avg()} AS avg_amount,
+                   min(amount) AS min_amount, max(amount) AS max_amount FROM by_category {group}"""
+        for level, c, s, group in (
+            ("0", "NULL", "NULL", ""), ("1", "level_1", "NULL", "GROUP BY level_1"), ("2", "level_1", "level_2", "GROUP BY level_1, level_2")
+        )
+    )
+    sql["rpt_5_rollup"] = _with(
+        f"""SELECT l.*, {_percent('l.total_amount', 'a.total_amount')} AS share_percent FROM ({levels}) l
+            JOIN (SELECT * FROM ({levels}) WHERE level < 2) a
+              ON a.level = greatest(l.level - 1, 0) AND (l.level < 2 OR a.category = l.category)""",
+        "by_category", double=("total_amount", "min_amount", "max_amount"),
+    )
     sql["rpt_6_top_subcategories"] = _with(
         f"{subcategories} ORDER BY total_amount DESC, category, subcategory NULLS FIRST LIMIT 15", "by_category", double=_TOTAL
     )
@@ -781,6 +868,30 @@ def oracle_sql() -> dict[str, str]:
             FROM months m LEFT JOIN months p ON p.year = m.year - 1 AND p.month = m.month""",
         "months", double=("total_amount", "previous_amount"),
     )
+    for name, ahead, by in (("fct_1_trend", 3, ""), ("fct_1_trend_by_category", 2, "category, ")):
+        per = "" if not by else "c.level_1 AS category, "
+        spend = f"""SELECT {per}d.year, d.month, {_sum()} AS total_amount, d.year * 12 + d.month - 1 - 24000 AS x
+                    FROM by_day d JOIN dim_category c USING (category_key) GROUP BY {'c.level_1, ' if by else ''}d.year, d.month"""
+        same = "l.category = m.category" if by else "true"
+        own = "m.category, " if by else ""
+        line = f"""SELECT {by}regr_slope(CAST(total_amount AS DOUBLE), CAST(x AS DOUBLE)) AS slope,
+                          regr_intercept(CAST(total_amount AS DOUBLE), CAST(x AS DOUBLE)) AS base, max(x) AS last
+                   FROM ({spend}) {'GROUP BY category' if by else ''}"""
+        sql[name] = _with(
+            f"""SELECT {own}m.year, m.month, m.total_amount, round(base + slope * x, 2) AS trend, m.total_amount IS NULL AS is_forecast
+                FROM (SELECT {by}year, month, CAST(total_amount AS DOUBLE) AS total_amount, x FROM ({spend})
+                      UNION ALL
+                      SELECT {by}{_int('(last + 24000 + i) // 12')}, {_int('(last + 24000 + i) % 12 + 1')}, NULL, last + i
+                      FROM ({line}), (SELECT unnest(range(1, {ahead + 1})) AS i)) m
+                JOIN ({line}) l ON {same}""",
+            "by_day",
+        )
+    sql["cat_1_map"] = _with(
+        """SELECT transaction_id, normalized_merchant, coalesce(n_name || ' ' || r_name, 'Uncategorized') AS assigned_category,
+                  n_name IS NOT NULL AS is_mapped
+           FROM silver LEFT JOIN (SELECT * FROM suppliers WHERE s_suppkey % 10 <> 9) ON normalized_merchant = s_name""",
+        "silver", "suppliers",
+    )
     sql["rpt_17_weekday"] = _with(
         f"""SELECT day_of_week, day_name, {n}, {_sum()} AS total_amount, {_avg()} AS avg_amount
             FROM by_day GROUP BY day_of_week, day_name""",
@@ -843,6 +954,17 @@ def oracle_sql() -> dict[str, str]:
                 ("foreign_key", "category_key", "0")),
         "silver",
     )
+    asia = "(SELECT count(*) FROM silver WHERE merchant_category LIKE 'ASIA%')"
+    sql["dq_6_referential"] = _with(
+        _checks("fact_transactions", ("referential", "date_key", late), ("referential", "category_key", "0"),
+                ("referential", "merchant_key", asia), ("referential", "card_key", "0")),
+        "silver",
+    )
+    sql["dq_6_dangling_keys"] = _with(
+        """SELECT 'merchant_key' AS column_name, merchant_key AS member, count(*) AS rows
+           FROM fact JOIN dim_merchant USING (merchant_key) WHERE merchant_category LIKE 'ASIA%' GROUP BY merchant_key""",
+        "fact",
+    )
     sql["dq_7_date_key_range"] = _with(
         _checks("gold_fact", ("in_range", "date_key", _outside("fact", "date_key", 19950101, 20010630))), "fact"
     )
@@ -877,6 +999,12 @@ def oracle_sql() -> dict[str, str]:
         "fact",
     )
     sql["dq_13_all_layers"] = _with(_ALL_CHECKS, "fact")
+    sql["dq_13_during_write"] = _with(
+        f"SELECT * FROM ({_ALL_CHECKS}) WHERE check_name <> 'unique' OR layer NOT IN ('bronze', 'silver', 'fact_transactions')", "fact"
+    )
+    more = [("referential", key, "0") for key in ("date_key", "category_key", "merchant_key", "card_key")]
+    history = _checks("dim_merchant", ("scd2_integrity", "merchant_name", "0"))
+    sql["dq_13_whole_star"] = _with(f"{_ALL_CHECKS} UNION ALL {_checks('fact_transactions', *more)} UNION ALL {history}", "fact")
     sql["dq_14_success_percent"] = _with(
         f"SELECT bool_and(passed) AS all_passed, count(*) AS checks, {percent} AS success_percent FROM ({_ALL_CHECKS})",
         "fact",

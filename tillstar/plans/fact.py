@@ -29,7 +29,7 @@ FACT_COLUMNS = [
 ]
 
 
-LOOKUPS = ("dim_category", "dim_merchant", "dim_card")
+LOOKUPS = ("dim_date", "dim_category", "dim_merchant", "dim_card")
 
 
 def small_dimensions(dims: dict[str, DataFrame]) -> set[str]:
@@ -60,7 +60,7 @@ def fact_transactions(
         "card_number", "card_type", "card_company",
         (F.col(created_at) if created_at else F.current_timestamp()).alias("created_at"),
     )
-    rows = join_date(rows, dims["dim_date"])
+    rows = join_date(rows, dims["dim_date"], small="dim_date" in small)
     rows = join_category(rows, dims["dim_category"], small="dim_category" in small)
     join_merchant = join_merchant_asof if as_of else join_merchant_current
     rows = join_merchant(rows, dims["dim_merchant"], small="dim_merchant" in small)

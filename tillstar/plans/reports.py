@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import time_of_day, year_month_label
@@ -155,6 +155,44 @@ def year_on_year(star: Star) -> DataFrame:
     )
 
 
+def spending_trend(star: Star, ahead: int = 3, by_category: bool = False) -> DataFrame:
+    """Monthly spend with its straight-line trend, and the trend's next months, of all spend or of each main category.
+
+    The line is least squares over the months since the first one, two regression aggregates on one row per month. Months
+    without spend have no row and no part in it; a single month has no trend. Forecast rows have no amount.
+    """
+    keys = ["category"] if by_category else []
+    if by_category:
+        days = star.dim_date.select("date_key", "year", "month")
+        sums = _per_key(star.fact, "date_key", "category_key").join(days, "date_key").join(star.dim_category, "category_key")
+        months = sums.groupBy(F.col("level_1").alias("category"), "year", "month").agg(_total())
+    else:
+        months = _by_day(star).groupBy("year", "month").agg(_total())
+    months = months.withColumn("_at", F.col("year") * 12 + F.col("month") - 1)
+    x, y = F.col("_at").cast("double"), F.col("total_amount").cast("double")
+    x = x - F.lit(24000)  # months since 2000, so that the intercept is no far extrapolation
+    line = months.groupBy(*keys).agg(
+        F.regr_slope(y, x).alias("_slope"), F.regr_intercept(y, x).alias("_start"), F.max("_at").alias("_last")
+    )
+    coming = line.select(*keys, F.explode(F.sequence(F.col("_last") + 1, F.col("_last") + ahead)).alias("_at"))
+    coming = coming.select(
+        *keys,
+        F.floor(F.col("_at") / 12).cast("int").alias("year"),
+        (F.col("_at") % 12 + 1).cast("int").alias("month"),
+        F.lit(None).cast(months.schema["total_amount"].dataType).alias("total_amount"),
+        "_at",
+    )
+    every = months.select(*coming.columns).unionByName(coming)
+    if by_category:
+        every, start, slope = every.join(line, keys), F.col("_start"), F.col("_slope")
+    else:
+        start, slope = line.select("_start").scalar(), line.select("_slope").scalar()
+    trend = F.round(start + slope * (F.col("_at") - 24000), 2)
+    return every.select(
+        *keys, "year", "month", "total_amount", trend.alias("trend"), F.col("total_amount").isNull().alias("is_forecast")
+    ).orderBy(*keys, "year", "month")
+
+
 def peak_months(star: Star) -> DataFrame:
     """Best and worst month per year and the ratio between them; ties go to the earlier month."""
     months = _by_day(star).groupBy("year", "month").agg(_total())
@@ -205,6 +243,30 @@ def category_share(star: Star) -> DataFrame:
     )
 
 
+def category_rollup(star: Star) -> DataFrame:
+    """All spend, main categories and subcategories as levels of one table, from one scan of the facts.
+
+    The fact is summed per category once; the levels are grouping sets of these sums. `level` is 0 for the whole, 1 for main
+    categories and 2 for subcategories, told apart by the grouping and not by NULL, which a category without a subcategory has.
+    The share is of the level above.
+    """
+    levels = _by_category(star).rollup("level_1", "level_2")
+    summed = levels.agg(F.grouping_id().alias("_set"), _count(), _total(), _avg(), _min(), _max())
+    level = F.when(F.col("_set") == 3, 0).when(F.col("_set") == 1, 1).otherwise(2)
+    names = [F.col("level_1").alias("category"), F.col("level_2").alias("subcategory")]
+    named = summed.select(level.alias("level"), *names, *[c for c in summed.columns if c not in ("level_1", "level_2", "_set")])
+
+    def of_level(n: int, within: WindowSpec) -> Column:
+        return F.max(F.when(F.col("level") == n, F.col("total_amount"))).over(within)
+
+    # windows over sums: a row per category at most
+    main = of_level(1, Window.partitionBy("category", F.col("level") == 0))
+    above = F.when(F.col("level") == 2, main).otherwise(of_level(0, Window.partitionBy()))
+    return named.withColumn("share_percent", percent(F.col("total_amount"), above)).orderBy(
+        "level", F.desc("total_amount"), "category", "subcategory"
+    )
+
+
 def top_subcategories(star: Star, n: int = 15) -> DataFrame:
     return subcategory_summary(star).limit(n)
 

@@ -16,7 +16,7 @@ from tillstar.functions.text import day_type, normalize_merchant, transaction_ty
 from tillstar.operators import clean, dedup, keys, lookup, merge, quality
 from tillstar.plans import dimensions, fact, layers, medallion, reports
 from tillstar.plans.prepared import FIRST_LOAD, MONTHS, Prepared
-from tillstar.sources import card_feed, generator, schemas, tables
+from tillstar.sources import bucketed, card_feed, generator, schemas, tables
 from tillstar.streaming import ingest
 
 CUT = date(2001, 1, 1)
@@ -270,6 +270,14 @@ def src_16_compact(p):
     return tables.read_table(p.spark, path)
 
 
+@query
+def src_16_zorder(p):
+    """Clustered by two keys at once; the rows stay what they are."""
+    path = _scratch(p, "zorder")
+    tables.zorder(p.spark, p.path("raw"), path, ("transaction_date", "amount"))
+    return tables.read_table(p.spark, path)
+
+
 @query
 def src_17_snapshot(p):
     base = _scratch(p, "versions")
@@ -307,6 +315,26 @@ def str_1_stream_ingest(p):
     )
 
 
+def _feed_parts(p: Prepared) -> list[DataFrame]:
+    """The feed up to the cut; later rows and some before it, corrected; and the oldest rows once more."""
+    early = p.raw.filter(F.col("transaction_date") < CUT)
+    corrected = p.raw.filter(F.col("transaction_date") >= OVERLAP)
+    corrected = corrected.withColumn("amount", (F.col("amount") + 1).cast("decimal(15,2)"))
+    return [early, corrected, p.raw.filter(F.col("transaction_date") < date(1996, 1, 1))]
+
+
+@query
+def str_1_stream_merge(p):
+    """Files that arrive one after the other, with corrections and repeats, through bronze and silver to the fact."""
+    feed, out, checkpoint = (_scratch(p, f"stream_{part}") for part in ("feed", "out", "checkpoint"))
+    for part in _feed_parts(p):
+        tables.write_table(part, feed, mode="append")
+        ingest.merge_new_files(p.spark, feed, p.raw.schema, out, checkpoint, FIRST_LOAD)
+    ingest.merge_new_files(p.spark, feed, p.raw.schema, out, checkpoint, FIRST_LOAD)  # nothing new
+    star = medallion.load_star(p.spark, out)
+    return star["fact_transactions"].select("transaction_id", "year", "month", "date_key", "category_key", "merchant_key", "amount")
+
+
 # --- projections, filters, scalars ------------------------------------------------------------
 
 
@@ -493,6 +521,13 @@ def jon_9_asof(p):
     return lookup.join_merchant_asof(rows, _snapshot_b(p))
 
 
+@query
+def jon_9_asof_merged(p):
+    """The same, with versions too many to broadcast: rows and versions in one ordered pass."""
+    rows = p.silver.select("transaction_id", "transaction_date", "normalized_merchant")
+    return lookup.join_merchant_asof(rows, _snapshot_b(p), small=False)
+
+
 @query
 def jon_10_orphans(p):
     calendar = p.table("dim_date").filter(F.col("full_date") <= date(2001, 6, 30))
@@ -556,6 +591,26 @@ def mrg_2_upsert(p):
     return merge.upsert(base, _delta(p, rows), layers.KEY)
 
 
+@query
+def mrg_2_large_source(p):
+    """The same, with keys too many to broadcast: a Bloom filter parts the target."""
+    rows = p.silver.select("transaction_id", "transaction_date", "year", "month", "amount")
+    base = rows.filter(F.col("transaction_date") < CUT)
+    return merge.upsert(base, _delta(p, rows), layers.KEY, small=False)
+
+
+@query
+def mrg_2_bucketed(p):
+    """The same, with the target in buckets of its key: the source alone is shuffled, and the result is bucketed again."""
+    rows = p.silver.select("transaction_id", "transaction_date", "year", "month", "amount")
+    old, new = _scratch(p, "bucketed"), _scratch(p, "bucketed")
+    buckets = int(p.spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed.write_bucketed(rows.filter(F.col("transaction_date") < CUT), old, layers.KEY, buckets)
+    target = bucketed.read_bucketed(p.spark, old, layers.KEY, buckets)
+    bucketed.write_bucketed(merge.upsert_bucketed(target, _delta(p, rows), layers.KEY), new, layers.KEY, buckets, dealt=True)
+    return bucketed.read_bucketed(p.spark, new, layers.KEY, buckets)
+
+
 @query
 def mrg_3_scd2(p):
     return _snapshot_b(p)
@@ -761,6 +816,38 @@ def bld_8_second_run(p):
     )
 
 
+@query
+def bld_8_disjoint_years(p):
+    """The feed in two runs, split by the year in which a transaction first occurs: every layer is as after a single run."""
+    out, feeds = _scratch(p, "years"), (_scratch(p, "years_early"), _scratch(p, "years_late"))
+    first = p.raw.groupBy("transaction_id").agg(F.min("transaction_date").alias("_first"))
+    known = p.raw.join(first, "transaction_id").withColumn("_early", F.coalesce(F.col("_first") < CUT, F.lit(True)))
+    for path, early in zip(feeds, (True, False)):
+        tables.write_table(known.filter(F.col("_early") == early).select(*p.raw.columns), path)
+        medallion.run_full(p.spark, path, out, FIRST_LOAD)
+    medallion.run_full(p.spark, feeds[0], out, FIRST_LOAD)  # a feed that is there already
+    star = medallion.load_star(p.spark, out)
+    found = [
+        star[name].groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"), total(F.col("amount")).alias("amount")).withColumn("layer", F.lit(name))
+        for name in ("bronze", "silver", "fact_transactions")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def bld_8_asof_run(p):
+    """Two runs with history; the second has corrections of rows from before it and moves some merchants to another category."""
+    out, feeds = _scratch(p, "history"), (_scratch(p, "history_early"), _scratch(p, "history_late"))
+    moved = F.when(F.col("merchant_category").startswith("ASIA"), F.concat(F.lit("RECLASS-"), "merchant_category"))
+    late = p.raw.filter(F.col("transaction_date") >= OVERLAP)
+    late = late.withColumn("merchant_category", moved.otherwise(F.col("merchant_category")))
+    tables.write_table(p.raw.filter(F.col("transaction_date") < CUT), feeds[0])
+    tables.write_table(late, feeds[1])
+    medallion.run_full(p.spark, feeds[0], out, FIRST_LOAD, history=True)
+    star = medallion.run_full(p.spark, feeds[1], out, CUT, history=True)
+    return star["fact_transactions"].select("transaction_id", "year", "month", "date_key", "category_key", "merchant_key", "amount")
+
+
 @query
 def bld_9_one_pass(p):
     fact_rows = medallion.run_one_pass(p.raw, p.table("dim_date"), key=content_key)
@@ -780,6 +867,32 @@ def bld_10_hash_mart(p):
     return medallion.run_hash_mart(p.raw)
 
 
+@query
+def bld_9_one_pass_star(p):
+    """The one-pass mart written with its dimensions, and its keys resolved in them."""
+    star = medallion.write_one_pass(p.spark, p.path("raw"), _scratch(p, "one_pass"), key=content_key)
+    merchants = star["dim_merchant"].select("merchant_key", "merchant_name", "merchant_category")
+    return (
+        star["fact_transactions"]
+        .join(star["dim_category"], "category_key", "left")
+        .join(merchants, "merchant_key", "left")
+        .select("transaction_id", "date_key", "category_name", "level_1", "level_2", "merchant_name", "merchant_category", "amount")
+    )
+
+
+@query
+def bld_10_mart_star(p):
+    """The reduced mart written with its dimensions, and its keys resolved in them."""
+    star = medallion.write_hash_mart(p.spark, p.path("raw"), _scratch(p, "mart"))
+    merchants = star["dim_merchant"].select("merchant_key", "merchant_name", "merchant_category")
+    return (
+        star["fact_transactions"]
+        .join(star["dim_category"], "category_key")
+        .join(merchants, "merchant_key")
+        .select("transaction_id", "year", "month", "category_name", "merchant_name", "merchant_category", "amount")
+    )
+
+
 @query
 def bld_11_window_mart(p):
     return medallion.run_window_mart(p.raw)
@@ -824,6 +937,11 @@ def rpt_5_category_share(p):
     return reports.category_share(p.star)
 
 
+@query
+def rpt_5_rollup(p):
+    return reports.category_rollup(p.star)
+
+
 @query
 def rpt_6_top_subcategories(p):
     return reports.top_subcategories(p.star)
@@ -922,6 +1040,27 @@ def rpt_21_weekend_gap(p):
     return reports.weekend_gap(p.star)
 
 
+# --- ideas the reports lead to -----------------------------------------------------------------
+
+
+@query
+def fct_1_trend(p):
+    return reports.spending_trend(p.star, ahead=3)
+
+
+@query
+def fct_1_trend_by_category(p):
+    return reports.spending_trend(p.star, ahead=2, by_category=True)
+
+
+@query
+def cat_1_map(p):
+    """Merchants of nine suppliers in ten have a category of their own in the map."""
+    feed = card_feed.merchants(p.spark, p.folder).filter(F.col("s_suppkey") % 10 != 9)
+    mapping = feed.select(F.col("s_name").alias("merchant_name"), F.concat_ws(" ", "n_name", "r_name").alias("category"))
+    return lookup.categorize(p.silver.select("transaction_id", "normalized_merchant"), mapping)
+
+
 # --- data quality -----------------------------------------------------------------------------
 
 DATE_KEYS = (19950101, 20010630)
@@ -968,6 +1107,23 @@ def dq_6_foreign_keys(p):
     return quality.run_checks(keyed, "gold_fact", quality.foreign_keys("date_key", "merchant_key", "category_key"))
 
 
+@query
+def dq_6_referential(p):
+    """A calendar that ends early and a merchant dimension without some of its members leave keys that point nowhere."""
+    calendar = p.table("dim_date").filter(F.col("full_date") <= date(2001, 6, 30))
+    merchants = p.table("dim_merchant").filter(~F.col("merchant_category").startswith("ASIA"))
+    dims = {**p.dims, "dim_date": calendar, "dim_merchant": merchants}
+    members = {fk: (dims[name], pk) for fk, (name, pk) in quality.REFERENCES.items()}
+    return quality.referential(p.table("fact_transactions"), "fact_transactions", members)
+
+
+@query
+def dq_6_dangling_keys(p):
+    """Each key that points nowhere, with its rows."""
+    merchants = p.table("dim_merchant").filter(~F.col("merchant_category").startswith("ASIA"))
+    return quality.dangling_keys(p.table("fact_transactions"), {"merchant_key": (merchants, "merchant_key")})
+
+
 @query
 def dq_7_date_key_range(p):
     return quality.run_checks(p.table("fact_transactions"), "gold_fact", quality.in_range("date_key", *DATE_KEYS))
@@ -1014,6 +1170,20 @@ def dq_13_all_layers(p):
     return _all_layers(p)
 
 
+@query
+def dq_13_during_write(p):
+    """The results that a run's checks gave while its layers were written."""
+    out = _scratch(p, "watched")
+    medallion.run_full(p.spark, p.path("raw"), out, FIRST_LOAD, date_keys=DATE_KEYS)
+    return medallion.load_checks(p.spark, out)
+
+
+@query
+def dq_13_whole_star(p):
+    """All layers, all references of the facts, and the merchants' history."""
+    return quality.validate_star({"bronze": p.raw, "silver": p.silver, **p.tables}, DATE_KEYS)
+
+
 @query
 def dq_14_success_percent(p):
     return quality.all_passed(_all_layers(p))
