@@ -93,3 +93,35 @@ def test_duplicate_keys_are_refused(spark):
     with pytest.raises(ValueError, match="not unique"):
         keys.assert_unique(df, ["k"], "table")
     keys.assert_unique(df.distinct(), ["k"], "table")
+
+
+def test_hash_form_equals_window_form_without_sorting_rows(spark, rows):
+    import random
+    from datetime import date, timedelta
+
+    made = random.Random(3)
+    copies = [
+        (
+            made.choice([None, *[f"t{i}" for i in range(200)]]) if i % 4 else f"u{i}",
+            made.choice([None, date(2024, 1, 1) + timedelta(made.randrange(3))]),
+            made.choice([None, "a", "b"]),
+            made.randrange(3),
+        )
+        for i in range(2000)
+    ] + [("hot", date(2024, 1, 1 + i % 20), "x", i) for i in range(3000)]
+    df = spark.createDataFrame(copies + copies[:50], "transaction_id string, transaction_date date, name string, amount int").repartition(4)
+    for order in (["transaction_date"], ["amount", "name"], ["name"], []):
+        want = rows(dedup.dedup_window(df, ["transaction_id"], order))
+        assert rows(dedup.dedup_hash(df, ["transaction_id"], order)) == want
+    assert rows(dedup.dedup_hash(df, ["transaction_id", "name"], ["amount"])) == rows(dedup.dedup_window(df, ["transaction_id", "name"], ["amount"]))
+    assert rows(dedup.dedup_hash(df.limit(0), ["transaction_id"], ["amount"])) == []
+
+
+def test_hash_form_has_no_sort_aggregate(spark, monkeypatch):
+    plans = []
+    real = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label))
+    df = spark.range(100).selectExpr("cast(id % 50 as string) AS k", "date'2024-01-01' + cast(id % 7 as int) AS d", "cast(id as string) AS v")
+    dedup.dedup_hash(df, ["k"], ["d"]).collect()
+    assert "SortAggregate" not in plans[0] and "SortMergeJoin" not in plans[0]
+    assert "ShuffledHashJoin" in plans[0] and "HashAggregate" in plans[0]

@@ -163,3 +163,18 @@ def test_report_and_summary(spark, tmp_path):
     assert (summary.success, summary.checks, summary.passed_checks) == (False, 11, 9)
     assert summary.failed_checks == "in_range:amount, not_null:transaction_date"
     assert quality.all_passed(results).first().success_percent == 81.82
+
+
+def test_layers_follow_their_inputs(spark, tmp_path):
+    import shutil
+
+    from tillstar.plans.prepared import Prepared
+
+    folder = tmp_path / "sf"
+    shutil.copytree("/root/testdata/sf0.001", folder)
+    before = Prepared.of(spark, str(folder)).raw.count()
+    assert Prepared.of(spark, str(folder)) is Prepared.of(spark, str(folder))
+    lines = tables.materialize(tables.read_table(spark, f"{folder}/lineitem.parquet").limit(100))
+    (folder / "lineitem.parquet").chmod(0o644)
+    lines.toPandas().to_parquet(folder / "lineitem.parquet")
+    assert Prepared.of(spark, str(folder)).raw.count() == 100 < before

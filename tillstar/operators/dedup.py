@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.sources.tables import materialize
+
 
 def _total_order(df: DataFrame, keys: list[str], order: list[str]) -> list[str]:
     """`order`, then every other column: copies that still tie are equal rows."""
@@ -26,11 +28,41 @@ def dedup_window(df: DataFrame, keys: list[str], order: list[str] = ()) -> DataF
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _ordinal(df: DataFrame, col: str) -> Column | None:
+    """`col` as a long in the same order, NULL first; None for types without one."""
+    kind = df.schema[col].dataType.typeName()
+    if kind == "date":
+        value = F.unix_date(col)
+    elif kind == "timestamp":
+        value = F.unix_micros(col)
+    elif kind in ("byte", "short", "integer", "long"):
+        value = F.col(col)
+    else:
+        return None
+    return F.coalesce(value.cast("bigint"), F.lit(-(2**63)).cast("bigint"))
+
+
 def dedup_hash(df: DataFrame, keys: list[str], order: list[str] = ()) -> DataFrame:
-    """Same rows as `dedup_window`, as an aggregate: the least row per key, whole, never stitched."""
-    rest = _total_order(df, keys, list(order))
-    least = F.min(F.struct(*rest)).alias("_row")
-    return df.groupBy(*keys).agg(least).select(*keys, "_row.*").select(*df.columns)
+    """Same rows as `dedup_window`, by hashing: only copies that a fixed-width comparison can't tell apart are sorted.
+
+    A hash aggregate finds each key's number of rows and its least value of the first column in `order`. Rows meet that in a
+    hash join: the only row of its key stays as it is, a row beyond the least value goes, and what is left, rows of one key
+    with the same first value, is ranked as in the window form. The rows are read twice and written once in between; keys with
+    very many copies are split by the join's skew handling. Worth it where most keys have one row and rows are wide, so that
+    the sort costs more than the second scan.
+    """
+    keys, order = list(keys), list(order)
+    first = _ordinal(df, order[0]) if order else None
+    least = [] if first is None else [F.min(first).alias("_least")]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), *least)
+    found = counted.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_copies", *["_least" for _ in least])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    kept = df.join(found.hint("shuffle_hash"), same)
+    if least:
+        kept = kept.filter((F.col("_copies") == 1) | (first == F.col("_least")))
+    staged = materialize(kept.select(*df.columns, (F.col("_copies") == 1).alias("_single")), "dedup")
+    single, several = staged.filter("_single").drop("_single"), staged.filter("NOT _single").drop("_single")
+    return single.unionByName(dedup_window(several, keys, order))
 
 
 def dedup_stats(df: DataFrame, keys: list[str]) -> DataFrame:

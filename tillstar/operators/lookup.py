@@ -91,11 +91,11 @@ def join_merchant_current(df: DataFrame, dim_merchant: DataFrame, how: str = "le
 
 
 def join_merchant_composite(
-    df: DataFrame, dim_merchant: DataFrame, how: str = "left", name: str = "merchant_name"
+    df: DataFrame, dim_merchant: DataFrame, how: str = "left", name: str = "merchant_name", small: bool | None = None
 ) -> DataFrame:
     """Merchant by name and category together."""
     on = {name: "merchant_name", "merchant_category": "merchant_category"}
-    return lookup(df, dim_merchant, on, ["merchant_key"], how)
+    return lookup(df, dim_merchant, on, ["merchant_key"], how, small=small)
 
 
 def join_card(df: DataFrame, dim_card: DataFrame, how: str = "left", small: bool | None = None) -> DataFrame:

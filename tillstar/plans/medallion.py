@@ -324,19 +324,19 @@ def run_hash_mart(raw: DataFrame) -> DataFrame:
 def hash_mart(raw: DataFrame) -> dict[str, DataFrame]:
     """Reduced mart: hash deduplication, dense keys, rows without a merchant or category dropped.
 
-    The deduplicated rows feed three consumers, so they are written once.
+    Both dimensions come from one pass that leaves the pairs of merchant and category.
     """
     columns = ["transaction_id", "transaction_date", "merchant_name", "merchant_category", "amount"]
-    rows = dedup_hash(filter_valid(raw.select(*columns), ()), KEY, ["transaction_date"])
-    silver = materialize(with_year_month(rows), "mart_silver")
-    categories = members(silver.filter("merchant_category IS NOT NULL"), ["merchant_category"])
-    merchants = members(
-        silver.filter("merchant_name IS NOT NULL AND merchant_category IS NOT NULL"),
-        ["merchant_name", "merchant_category"],
-    )
-    dim_cat = dense_key(categories.toDF("category_name"), "category_key", ["category_name"])
-    dim_mer = dense_key(merchants, "merchant_key", ["merchant_name", "merchant_category"])
-    rows = join_merchant_composite(join_category(silver, dim_cat, "inner"), dim_mer, "inner")
+    silver = with_year_month(dedup_hash(filter_valid(raw.select(*columns), ()), KEY, ["transaction_date"]))
+    pairs = materialize(members(silver.filter("merchant_category IS NOT NULL"), ["merchant_name", "merchant_category"]), "mart_members")
+    small = bool(small_enough({"pairs": pairs}))  # then each dimension is too, and one range of keys will do
+    ranges = 1 if small else None
+    categories = members(pairs, [F.col("merchant_category").alias("category_name")])
+    dim_cat = dense_key(categories, "category_key", ["category_name"], partitions=ranges)
+    merchants = pairs.filter("merchant_name IS NOT NULL")
+    dim_mer = dense_key(merchants, "merchant_key", ["merchant_name", "merchant_category"], partitions=ranges)
+    rows = join_category(silver, dim_cat, "inner", small=small)
+    rows = join_merchant_composite(rows, dim_mer, "inner", small=small)
     fact = rows.select("transaction_id", "year", "month", "category_key", "merchant_key", "amount")
     return {"dim_category": dim_cat, "dim_merchant": dim_mer, "fact_transactions": fact}
 

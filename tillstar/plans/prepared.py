@@ -11,10 +11,12 @@ from tillstar.plans.fact import fact_transactions
 from tillstar.plans.layers import build_bronze, build_silver
 from tillstar.plans.reports import Star
 from tillstar.sources.card_feed import card_feed
-from tillstar.sources.tables import is_complete, read_table, scratch_path, write_table
+from tillstar.sources.tables import is_complete, read_table, scratch_path, stamp, write_table
 
 FIRST_LOAD = date(1995, 1, 1)
 MONTHS = ("year", "month")
+#: Tables that the feed is derived from.
+INPUTS = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
 _known: dict[tuple[str, str], Prepared] = {}
 
@@ -24,20 +26,22 @@ class Prepared:
 
     As in any layered warehouse, the layers are tables in the shared folder;
     what reads them scans the whole table again. A table that was removed is
-    built anew.
+    built anew, and so are all when an input's files have changed.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, inputs: tuple = ()):
         self.spark = spark
         self.folder = folder
+        self.inputs = inputs
         self._paths: dict[str, str] = {}
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Prepared:
         key = (spark.sparkContext.applicationId, folder)
-        if key not in _known or _known[key].spark is not spark:
-            _known[key] = cls(spark, folder)
+        inputs = tuple(stamp(spark, f"{folder}/{name}.parquet") for name in INPUTS)
+        if key not in _known or _known[key].spark is not spark or _known[key].inputs != inputs:
+            _known[key] = cls(spark, folder, inputs)
         return _known[key]
 
     def path(self, name: str) -> str:

@@ -98,6 +98,14 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(pa.table(columns, names=names), schema) if rows else spark.createDataFrame([], schema)
 
 
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of the files of a table: it changes when the table does."""
+    fs, folder = _path_handle(spark, path)
+    if not fs.exists(folder):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(folder)))
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
