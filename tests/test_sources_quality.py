@@ -168,13 +168,15 @@ def test_report_and_summary(spark, tmp_path):
 def test_layers_follow_their_inputs(spark, tmp_path):
     import shutil
 
+    import pyarrow.parquet as pq
+
     from tillstar.plans.prepared import Prepared
 
     folder = tmp_path / "sf"
     shutil.copytree("/root/testdata/sf0.001", folder)
     before = Prepared.of(spark, str(folder)).raw.count()
     assert Prepared.of(spark, str(folder)) is Prepared.of(spark, str(folder))
-    lines = tables.materialize(tables.read_table(spark, f"{folder}/lineitem.parquet").limit(100))
-    (folder / "lineitem.parquet").chmod(0o644)
-    lines.toPandas().to_parquet(folder / "lineitem.parquet")
+    lines = folder / "lineitem.parquet"
+    lines.chmod(0o644)
+    pq.write_table(pq.read_table(lines).slice(0, 100), lines)
     assert Prepared.of(spark, str(folder)).raw.count() == 100 < before
