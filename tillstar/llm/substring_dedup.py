@@ -1,96 +1,236 @@
 """Fuzzy repeated passages by collinear chaining of k-mer seeds.
 
-Every k-mer of a text is a seed, and so are some runs of `LONG` words (the
-least-hashed of every `LONG_WINDOW`), which point past common phrases. A seed
-with at most `FEW` occurrences meets all earlier ones; a more frequent one meets
-its first document in a join (never each other). The matches of two documents
-are chained in order of both by a Fenwick tree, with linear gap costs that let
-`REACH` words lie between two; of exact runs, only the ends and every k-th match
-are chained. Every chain, also of one match, fetches the words of the earlier
-document and is aligned with those of the later one: gaps between seeds by
-longest common subsequence, ends by extension until mismatches outweigh matches,
-with more words while the fetched ones run out. A chain that is not alike as a
-whole is parted at its widest gap. Chains of a document that overlap or touch
-make a passage.
-
-Only counts, seeds and chains are shuffled at first; whole texts move once for
-the documents with a chain, and arrays are no longer than a document.
+One text in four of its k-mers is a seed, chosen by the k-mer's hash alone, and
+one in eight of its `LONG`-word runs, which point past common phrases. Texts
+with the same words are one node, whose earliest row speaks for all; copies of
+it are passages as a whole. Nodes that share a seed match: all earlier holders
+of a seed with up to `FEW` of them, the first holder of a more frequent one. A
+task that meets a frequent seed links its holders itself and passes on the first
+of them, so that a hot seed is one entry per task in the shuffle. Seeds travel
+as packed arrays by hash partition.
+
+The matches of two nodes are chained in order of both by a Fenwick tree, with
+linear gap costs, and chains are parted where more than `REACH` words lie
+between two matches; of exact runs, only the ends and every k-th match are
+chained. Every chain, also of one match, fetches the words of the earlier node
+around it and is aligned with those of the later one: gaps between seeds word by
+word, or by longest common subsequence where their lengths differ, ends by
+extension until mismatches outweigh matches, with more words while the fetched
+ones run out. A chain that is not alike as a whole is parted at its widest gap.
+Chains of a node that overlap or touch make a passage. Words are compared by
+32-bit hashes.
+
+What a frequent seed finds is the first text that holds it: true for a repeated
+passage, whose seeds are frequent together, and a stranger for a common phrase.
+A copy with many edits is therefore found by its rarer seeds; see the recall in
+the README.
 
 Defined results: null and empty texts, and texts under K words, have no
-passages; the same doc_id on two rows is one document, whose first text in
-reading is aligned; rows without a doc_id are left out; other columns are not
-read; an empty table gives no rows.
+passages; rows are told apart by doc_id and words, so that texts that share a
+doc_id are texts of their own, the earlier one by a hash of its words, and a row
+that repeats both is the same document; rows without a doc_id come before all
+others; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import TEXTS, hashes_of, mapped, mix, shingle_hashes, signed, staged, strings, words_of
+from tillstar.llm.common import TEXTS, hashes_of, mapped, mix, shingle_hashes, staged, strings, words_of
 
 K = 5
-WINDOW = 1
-LONG = 16
-LONG_WINDOW = 8
-FEW = 8
+#: One k-mer in so many is a seed, and one run of LONG words in so many.
+EVERY = 4
+LONG = 10
+EVERY_LONG = 8
+FEW = 6
 REACH = 50
 MIN_WORDS = 50
+#: So many words of a passage may be lost at its edited ends.
+TRIMMED = 10
 MIN_CHAIN = 20
 SIMILARITY = 0.8
 MATCH = 4.0
 GAP = 0.15
-EXTEND = 40
+EXTEND = 60
 DROP = 8
 SMALL_IDS = 1_000_000
+#: Words that a task gathers before it sends their seeds, and text bytes of a hash partition, about.
+FLUSH = 1 << 20
+PART_BYTES = 16 << 20
+#: Stands for a missing doc_id: before all others.
+NO_ID = -(2**63)
 WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 
-
-def minimizers(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Places of the least value of every window, the last one among equals."""
-    if not len(values):
-        return np.empty(0, dtype=np.int64)
-    window = min(window, len(values))
-    views = np.lib.stride_tricks.sliding_window_view(values[::-1], window)
-    at = len(values) - 1 - (views.argmin(axis=1) + np.arange(len(views)))
-    return np.unique(at)
-
-
-def seeds(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
-    """seed, doc_id, pos: the chosen k-mers and long runs of every text."""
-
-    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, found, places = [], [], []
-        for doc_id, text in zip(strings(batch.column("doc_id")), strings(batch.column("text"))):
-            words = hashes_of(words_of(text))
-            if len(words) < k:
-                continue
-            values = shingle_hashes(words, k)
-            at = minimizers(values, window)
-            if len(words) >= LONG:
-                wide = shingle_hashes(words, LONG)
-                more = minimizers(wide, LONG_WINDOW)
-                values, at = np.concatenate([values[at], wide[more]]), np.concatenate([at, more])
-            else:
-                values = values[at]
-            ids.append(np.full(len(at), doc_id, dtype=np.int64))
-            found.append(values)
-            places.append(at.astype(np.int32))
-        if not ids:
-            return None
-        return pa.RecordBatch.from_arrays(
-            [pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(ids)), pa.array(np.concatenate(places))], ["seed", "doc_id", "pos"]
-        )
-
-    return mapped(_texts(docs), of, "seed long, doc_id long, pos int", TEXTS)
+PACKED = "part int, own binary, other binary, doc binary, x binary, y binary"
+PACKED_NAMES = ["part", "own", "other", "doc", "x", "y"]
+
+
+def node_of(words: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a text's words."""
+    raw = words.tobytes()
+    return xxhash.xxh3_64_intdigest(raw), xxhash.xxh3_64_intdigest(raw, 1)
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def sampled(texts: list[np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of texts, given as hashes of their words: seed, number of the text, place."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    words = np.concatenate(texts) if texts else np.zeros(0, dtype=np.uint64)
+    if len(words) < k:
+        none = np.zeros(0, dtype=np.int64)
+        return none.view(np.uint64), none, none.astype(np.int32)
+    text = np.repeat(np.arange(len(texts)), lengths)
+    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    left = np.repeat(lengths, lengths) - place
+    short = shingle_hashes(words, k)
+    at = np.flatnonzero((left[: len(short)] >= k) & (short % np.uint64(EVERY) == 0))
+    found, places = [short[at]], [at]
+    if len(short) > LONG - k:
+        long = mix(short[: len(short) - LONG + k] ^ mix(short[LONG - k :] + np.uint64(LONG)))
+        at = np.flatnonzero((left[: len(long)] >= LONG) & (long % np.uint64(EVERY_LONG) == 0))
+        found.append(long[at])
+        places.append(at)
+    at = np.concatenate(places)
+    return np.concatenate(found), text[at], place[at].astype(np.int32)
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((mix(hashes) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+
+
+def _packed(part: np.ndarray, own: np.ndarray, other: np.ndarray, doc: np.ndarray | None, x: np.ndarray, y: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Rows of packed arrays, one per hash partition; rows of one node stand together, which compresses well."""
+    order = np.lexsort((x, own, part))
+    columns = [None if c is None else c[order] for c in (own, other, doc, x, y)]
+    numbers, starts = np.unique(part[order], return_index=True)
+    ends = np.append(starts[1:], len(part))
+    for at in range(0, len(numbers), 64):
+        spans = list(zip(starts[at : at + 64], ends[at : at + 64]))
+        made = [pa.nulls(len(spans), pa.binary()) if c is None else pa.array([c[i:j].tobytes() for i, j in spans], pa.binary()) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[at : at + 64].astype(np.int32)), *made], PACKED_NAMES)
+
+
+def _groups(seed: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries sorted by seed and node: whether each is its node's first, its node's number among all seeds' nodes, the
+    number of the seed's first node, and how many nodes the seed has."""
+    new_seed = np.ones(len(seed), dtype=bool)
+    new_seed[1:] = seed[1:] != seed[:-1]
+    new_node = new_seed.copy()
+    new_node[1:] |= rank[1:] != rank[:-1]
+    group = np.cumsum(new_seed) - 1
+    node = np.cumsum(new_node) - 1
+    nodes = np.bincount(group, weights=new_node, minlength=1).astype(np.int64) if len(seed) else np.zeros(0, dtype=np.int64)
+    first = (np.cumsum(nodes) - nodes)[group] if len(seed) else node
+    return new_node, node, first, nodes[group] if len(seed) else node
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long"))
+    text = F.col("text").cast("string")
+    return docs.select(doc.alias("doc"), text.alias("text"), F.xxhash64(text).alias("h"))
+
+
+def matches(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
+    """Packed matches by partition of the later node: own node, earlier node, place in both."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[int, np.ndarray]] = {}  # node -> its first row so far, and its words
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = sorted((doc, node) for node, (doc, _) in held.items())
+            doc = np.array([d for d, _ in rows], dtype=np.int64)
+            node = np.array([n for _, n in rows], dtype=np.uint64)
+            seed, rank, place = sampled([held[n][1] for _, n in rows], k)
+            order = np.lexsort((place, rank, seed))
+            seed, rank, place = seed[order], rank[order], place[order]
+            new_node, number, first, nodes = _groups(seed, rank)
+            hot = nodes > FEW
+            leads = np.flatnonzero(new_node)
+            linked = np.flatnonzero(hot & (number > first))
+            if len(linked):
+                lead = leads[first[linked]]
+                own, other = node[rank[linked]], node[rank[lead]]
+                yield from _packed(_part(own, parts), own, other, None, place[linked], place[lead])
+            kept = np.flatnonzero(~hot | (new_node & (number == first)))
+            if len(kept):
+                yield from _packed(_part(seed[kept], parts), node[rank[kept]], seed[kept], doc[rank[kept]], place[kept], None)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                for doc, text in zip(strings(part.column("doc")), strings(part.column("text"))):
+                    words = hashes_of(words_of(text))
+                    if len(words) < k:
+                        continue
+                    node = node_of(words)[0]
+                    if node not in held:
+                        size += len(words)
+                        held[node] = (doc, words)
+                    elif doc < held[node][0]:
+                        held[node] = (doc, words)
+                if size >= FLUSH:
+                    yield from flush()
+                    held, size = {}, 0
+        if held:
+            yield from flush()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols: list[list[np.ndarray]] = [[], [], [], []]
+        for batch in batches:
+            made = []
+            for i in range(batch.num_rows):
+                if batch.column("y")[i].is_valid:
+                    made.append(i)  # matches that a task has made already
+                    continue
+                for column, name, kind in zip(cols, ("own", "other", "doc", "x"), (np.uint64, np.uint64, np.int64, np.int32)):
+                    column.append(np.frombuffer(batch.column(name)[i].as_buffer(), dtype=kind).copy())
+            if made:
+                yield batch.take(pa.array(made))
+        if not cols[0]:
+            return
+        own, seed, doc, place = (np.concatenate(c) for c in cols)
+        order = np.argsort(seed, kind="stable")
+        same = seed[order][1:] == seed[order][:-1]
+        shared = order[np.append(same, False) | np.append(False, same)]  # most seeds have one entry
+        own, seed, doc, place = own[shared], seed[shared], doc[shared], place[shared]
+        every, number = np.unique(own, return_inverse=True)
+        earliest = np.full(len(every), np.iinfo(np.int64).max)
+        np.minimum.at(earliest, number, doc)
+        by_age = np.empty(len(every), dtype=np.int64)
+        by_age[np.lexsort((every, earliest))] = np.arange(len(every))
+        rank = by_age[number]
+        order = np.lexsort((place, rank, seed))
+        own, seed, rank, place = own[order], seed[order], rank[order], place[order]
+        again = np.zeros(len(seed), dtype=bool)  # copies of a node, from several tasks
+        again[1:] = (seed[1:] == seed[:-1]) & (rank[1:] == rank[:-1]) & (place[1:] == place[:-1])
+        own, seed, rank, place = own[~again], seed[~again], rank[~again], place[~again]
+        new_node, number, first, nodes = _groups(seed, rank)
+        leads = np.flatnonzero(new_node)
+        at, partner = [np.flatnonzero((nodes > FEW) & (number > first))], []
+        partner.append(first[at[0]])
+        for back in range(1, FEW):
+            some = np.flatnonzero((nodes <= FEW) & (number - back >= first))
+            at.append(some)
+            partner.append(number[some] - back)
+        at, lead = np.concatenate(at), leads[np.concatenate(partner)]
+        if len(at):
+            yield from _packed(_part(own[at], parts), own[at], own[lead], None, place[at], place[lead])
+
+    packed = _texts(docs).select("doc", "text").mapInArrow(send, PACKED)
+    return packed.repartitionById(parts, F.col("part")).mapInArrow(meet, PACKED)
 
 
 class Fenwick:
@@ -159,13 +299,18 @@ def thinned(x: np.ndarray, y: np.ndarray, k: int = K) -> tuple[np.ndarray, np.nd
 
 
 def common_length(a: list, b: list) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
+    """Length of the longest common subsequence; a bit per word of `b` in one whole number, a step per word of `a`."""
+    if not a or not b:
+        return 0
+    places: dict[int, int] = {}
+    for j, y in enumerate(b):
+        places[y] = places.get(y, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    row = every
     for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & every
+    return len(b) - row.bit_count()
 
 
 def _extend(a: list, b: list) -> int:
@@ -196,10 +341,8 @@ def align(mine: list, other: list, x: list[int], y: list[int], k: int = K) -> tu
         else:
             size = k
         gap_x, gap_y = mine[at_x:i], other[at_y:j]
-        if len(gap_x) == len(gap_y) and sum(p == q for p, q in zip(gap_x, gap_y)) >= len(gap_x) - 2:
-            agree += sum(p == q for p, q in zip(gap_x, gap_y))
-        else:
-            agree += common_length(gap_x, gap_y)
+        level = sum(p == q for p, q in zip(gap_x, gap_y)) if len(gap_x) == len(gap_y) else 0
+        agree += level if 2 * level >= len(gap_x) == len(gap_y) else common_length(gap_x, gap_y)
         agree += size
         at_x, at_y = i + size, j + size
     right = _extend(mine[at_x:], other[at_y:])
@@ -208,79 +351,119 @@ def align(mine: list, other: list, x: list[int], y: list[int], k: int = K) -> tu
     return x[0] - left, n_x, y[0] - left, n_y, agree / max(n_x, n_y)
 
 
-def _chains(docs: DataFrame, k: int, window: int) -> DataFrame:
-    """doc_id, source_doc_id and the places of each chain."""
-    every = seeds(docs, k, window)  # made twice rather than kept on disk
-    counted = every.groupBy("seed").agg(F.min("doc_id").alias("source_doc_id"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    first = staged(counted.filter("last > source_doc_id").select("seed", "source_doc_id", "n"), "first")
-    shared = staged(every.join(first, "seed"), "shared")
-    many = shared.filter(F.col("n") > FEW)
-    places = staged(many.filter("doc_id = source_doc_id").groupBy("seed").agg(F.min("pos").alias("y")), "places")
-    met = many.filter("doc_id > source_doc_id").join(places, "seed").select("doc_id", "source_doc_id", F.col("pos").alias("x"), "y")
-    few = shared.filter(F.col("n") <= FEW).groupBy("seed").agg(F.collect_list(F.struct("doc_id", "pos")).alias("all"))  # at most FEW
-    few = few.select(F.explode("all").alias("own"), "all").select("own", F.explode("all").alias("other")).filter("own.doc_id > other.doc_id")
-    met = met.unionAll(few.select("own.doc_id", F.col("other.doc_id").alias("source_doc_id"), F.col("own.pos").alias("x"), F.col("other.pos").alias("y")))
-    pairs = met.groupBy("doc_id", "source_doc_id").agg(F.collect_set(F.struct("x", "y")).alias("all"))  # at most FEW for each place
+def pair_chains(x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[list[int], list[int]]]:
+    """The chains of two nodes' matches, parted where more than REACH words lie between two."""
+    x, y = thinned(x, y, k)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    on_one_line = len(x) == 1 or (x[0] - y[0] == x - y).all()
+    paths = [list(range(len(x)))] if on_one_line else chain(x, y, k, gap=MATCH / (2 * REACH))
+    out = []
+    for path in paths:
+        px, py = x[path], y[path]
+        cuts = np.flatnonzero((np.diff(px) > REACH) | (np.diff(py) > REACH)) + 1
+        for cx, cy in zip(np.split(px, cuts), np.split(py, cuts)):
+            out.append((cx.tolist(), cy.tolist()))
+    return out
+
+
+def _chains(docs: DataFrame, k: int) -> DataFrame:
+    """own, source (nodes) and the places of each chain."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols: list[list[np.ndarray]] = [[], [], [], []]
+        for batch in batches:
+            for column, name, kind in zip(cols, ("own", "other", "x", "y"), (np.uint64, np.uint64, np.int32, np.int32)):
+                column += [np.frombuffer(v.as_buffer(), dtype=kind).copy() for v in batch.column(name)]
+        if not cols[0]:
+            return
+        own, source, x, y = (np.concatenate(c) for c in cols)
+        order = np.lexsort((y, x, source, own))
+        own, source, x, y = own[order], source[order], x[order], y[order]
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = (own[1:] != own[:-1]) | (source[1:] != source[:-1])
+        kept = new.copy()
+        kept[1:] |= (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        starts = np.append(np.flatnonzero(new[kept]), kept.sum())
+        own, source, x, y = own[kept].view(np.int64), source[kept].view(np.int64), x[kept], y[kept]
+        rows: list[tuple] = []
+        for i, j in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            rows += [(int(own[i]), int(source[i]), *c) for c in pair_chains(x[i:j], y[i:j], k)]
+            if len(rows) >= 4096 or j == len(x):
+                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["own", "source", "x", "y"])
+                rows = []
+
+    by_own = matches(docs, parts, k).repartitionById(parts, F.col("part"))
+    return by_own.mapInArrow(of, "own long, source long, x array<int>, y array<int>")
+
+
+def _rows(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """doc, h (hash of the text), node, check and n_words of every row with words; and the words of rows of the given nodes.
+
+    Up to SMALL_IDS nodes go to the tasks as a sorted array of 8 bytes each; with more, every row has its words.
+    """
+    few = nodes.count() <= SMALL_IDS
+    listed = np.sort(np.array([r[0] for r in nodes.collect()], dtype=np.int64)) if few else None
+    wanted = docs.sparkSession.sparkContext.broadcast(listed)
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cols: list[list] = [[], [], [], []]
-        every = batch.column("all")
-        flat, offsets = every.flatten(), every.offsets.to_numpy()
-        fx, fy = flat.field("x").to_numpy(), flat.field("y").to_numpy()
-        base = offsets[0]
-        for i, (doc_id, source) in enumerate(zip(strings(batch.column("doc_id")), strings(batch.column("source_doc_id")))):
-            x, y = fx[offsets[i] - base : offsets[i + 1] - base], fy[offsets[i] - base : offsets[i + 1] - base]
-            x, y = thinned(x, y, k)
-            for path in chain(x, y, k, gap=MATCH / (2 * REACH)):
-                for column, value in zip(cols, (doc_id, source, x[path].tolist(), y[path].tolist())):
-                    column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "source_doc_id", "x", "y"])
-
-    return mapped(pairs, of, "doc_id long, source_doc_id long, x array<int>, y array<int>")
-
-
-def aligned(docs: DataFrame, k: int = K, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, start, n_words, source_doc_id, source_start, source_words, similarity of every aligned chain."""
-    found = staged(_chains(docs, k, window), "chains")
-    ids = found.select("doc_id").unionAll(found.select(F.col("source_doc_id").alias("doc_id"))).distinct()
-    ids = staged(ids, "ids")
-    small = ids.count() <= SMALL_IDS
-    texts = _texts(docs).join(F.broadcast(ids) if small else ids, "doc_id")
-
-    def words(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = [hashes_of(words_of(t)).tobytes() for t in strings(batch.column("text"))]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "words"])
-
-    texts = staged(mapped(texts, words, "doc_id long, words binary", TEXTS), "words")
-    source = texts.select(F.col("doc_id").alias("source_doc_id"), "words")
+        known = wanted.value
+        made: list[tuple] = []
+        for doc, h, text in zip(strings(batch.column("doc")), strings(batch.column("h")), strings(batch.column("text"))):
+            words = hashes_of(words_of(text))
+            if len(words) < K:
+                continue
+            node, check = map(_signed, node_of(words))
+            at = 0 if known is None else int(np.searchsorted(known, node))
+            has = known is None or (at < len(known) and known[at] == node)
+            made.append((doc, h, node, check, len(words), words.astype(np.uint32).tobytes() if has else None))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        names = ["doc", "h", "node", "check", "n", "words"]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(kinds)], names)
+
+    return mapped(_texts(docs), of, "doc long, h long, node long, check long, n int, words binary", TEXTS)
+
+
+def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = SIMILARITY) -> DataFrame:
+    """own, start, n_words, source_doc, source_start, source_words, similarity of every aligned chain."""
+    # copies of a node have the same words, whichever comes first
+    texts = rows.filter("words IS NOT NULL").groupBy("node").agg(F.min("doc").alias("source_doc"), F.first("words").alias("words"))
+    source = texts.withColumnRenamed("node", "source")
+    later = texts.select(F.col("node").alias("own"), "words")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """The earlier document's words around the chain, and how many it has."""
+        """The earlier node's words around the chain, and how many it has."""
         begins, totals, parts = [], [], []
         for y, extend, raw in zip(batch.column("y").to_pylist(), batch.column("extend").to_pylist(), batch.column("words")):
             raw = raw.as_buffer()
-            begin, end = max(0, y[0] - extend), min(len(raw) // 8, y[-1] + k + extend)
+            begin, end = max(0, y[0] - extend), min(len(raw) // 4, y[-1] + k + extend)
             begins.append(begin)
-            totals.append(len(raw) // 8)
-            parts.append(raw[8 * begin : 8 * end].to_pybytes())
-        cols = [batch.column(c) for c in names]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(begins, pa.int32()), pa.array(totals, pa.int32()), pa.array(parts, pa.binary())], [*names, "begin", "total", "part"])
+            totals.append(len(raw) // 4)
+            parts.append(raw[4 * begin : 4 * end].to_pybytes())
+        cols = [batch.column(c) for c in (*names, "source_doc")]
+        return pa.RecordBatch.from_arrays(
+            [*cols, pa.array(begins, pa.int32()), pa.array(totals, pa.int32()), pa.array(parts, pa.binary())],
+            [*names, "source_doc", "begin", "total", "part"],
+        )
 
-    names = ["doc_id", "source_doc_id", "x", "y", "extend"]
-    chained = "doc_id long, source_doc_id long, x array<int>, y array<int>, extend int"
-    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
-    results = ["start", "n_words", "source_start", "source_words", "similarity"]
+    names = ["own", "source", "x", "y", "extend"]
+    chained = "own long, source long, x array<int>, y array<int>, extend int"
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
+    results = ["source_doc", "start", "n_words", "source_start", "source_words", "similarity"]
 
     def match(batch: pa.RecordBatch) -> pa.RecordBatch:
         """The chain's alignment; or the chain with twice the words around it, where those fetched ran out."""
-        rows = []
-        cols = [strings(batch.column(c)) for c in (*names, "begin", "total", "part")]
-        for doc_id, source, xs, ys, extend, begin, total, part, raw in zip(*cols, batch.column("words")):
-            whole = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+        made = []
+        cols = [strings(batch.column(c)) for c in (*names, "source_doc", "begin", "total", "part")]
+        for own, other_node, xs, ys, extend, doc, begin, total, part, raw in zip(*cols, batch.column("words")):
+            whole = np.frombuffer(raw.as_buffer(), dtype=np.uint32)
             low = max(0, xs[0] - extend)
             high = min(len(whole), xs[-1] + k + extend)
-            mine, other = whole[low:high].tolist(), np.frombuffer(part, dtype=np.uint64).tolist()
+            mine, other = whole[low:high].tolist(), np.frombuffer(part, dtype=np.uint32).tolist()
             waiting = [(xs, ys)]
             while waiting:
                 x, y = waiting.pop()
@@ -290,17 +473,17 @@ def aligned(docs: DataFrame, k: int = K, window: int = WINDOW, similarity: float
                     at = 1 + int(np.argmax(np.diff(x) + np.diff(y)))
                     waiting += [(x[:at], y[:at]), (x[at:], y[at:])]
                 elif ran_out:
-                    rows.append((doc_id, source, x, y, 2 * extend, None, None, None, None, None))
+                    made.append((own, other_node, x, y, 2 * extend, None, None, None, None, None, None))
                 elif share >= similarity and n >= MIN_CHAIN:
-                    rows.append((doc_id, source, None, None, None, start + low, n, y0 + begin, m, share))
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [*names, *results])
+                    made.append((own, other_node, None, None, None, doc, start + low, n, y0 + begin, m, share))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(kinds)], [*names, *results])
 
     done, left = None, found.withColumn("extend", F.lit(EXTEND))
     while True:
-        placed = mapped(left.join(source, "source_doc_id"), cut, f"{chained}, begin int, total int, part binary", TEXTS)
-        schema = f"{chained}, start int, n_words int, source_start int, source_words int, similarity double"
-        made = staged(mapped(placed.join(texts, "doc_id"), match, schema, TEXTS), "aligned")
-        ended = made.filter(F.col("extend").isNull()).select("doc_id", "start", "n_words", "source_doc_id", "source_start", "source_words", "similarity")
+        placed = mapped(left.join(source, "source"), cut, f"{chained}, source_doc long, begin int, total int, part binary", TEXTS)
+        schema = f"{chained}, source_doc long, start int, n_words int, source_start int, source_words int, similarity double"
+        made = staged(mapped(placed.join(later, "own"), match, schema, TEXTS), "aligned")
+        ended = made.filter(F.col("extend").isNull()).select("own", "start", "n_words", "source_doc", "source_start", "source_words", "similarity")
         done = ended if done is None else done.unionAll(ended)
         left = made.filter(F.col("extend").isNotNull()).select(*names)
         if left.isEmpty():
@@ -317,23 +500,49 @@ def merge(spans: list[tuple[int, int, int, float]], min_words: int, slack: int =
             out[-1][3] = min(out[-1][3], share)
         else:
             out.append([start, start + n, {source}, share])
-    return [(a, b - a, sorted(s), v) for a, b, s, v in out if b - a >= min_words]
+    return [(a, b - a, sorted(s), v) for a, b, s, v in out if b - a >= min_words - TRIMMED]
 
 
-def passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = K, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, start_word, n_words, source_doc_ids, similarity of each passage that an earlier document holds too."""
-    spans = aligned(docs, k, window, similarity)
-    gathered = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words", "source_doc_id", "similarity")).alias("all"))
+def _passages(docs: DataFrame, min_words: int, k: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """doc, node, start_word, n_words, source_docs, similarity of each passage; and the rows of `_rows`."""
+    found = staged(_chains(docs, k), "chains")
+    nodes = found.select(F.col("own").alias("node")).unionAll(found.select("source")).distinct()
+    rows = staged(_rows(docs, staged(nodes, "nodes")), "rows")
+    spans = aligned(found, rows, k, similarity)
+    gathered = spans.groupBy("own").agg(F.collect_list(F.struct("start", "n_words", "source_doc", "similarity")).alias("all"))
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for doc_id, own in zip(strings(batch.column("doc_id")), strings(batch.column("all"))):
-            rows += [(doc_id, *p) for p in merge([tuple(s.values()) for s in own], min_words)]
+        made = []
+        for node, own in zip(strings(batch.column("own")), strings(batch.column("all"))):
+            made += [(node, *p) for p in merge([tuple(s.values()) for s in own], min_words)]
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.float64())
-        names = ["doc_id", "start_word", "n_words", "source_doc_ids", "similarity"]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+        names = ["node", "start_word", "n_words", "source_docs", "similarity"]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(kinds)], names)
+
+    parts = mapped(gathered, of, "node long, start_word int, n_words int, source_docs array<bigint>, similarity double")
+    first = rows.groupBy("node", "check").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("n").alias("n"))
+    known = first.select("node", F.col("first").alias("doc"))
+    in_firsts = parts.join(known, "node").select("doc", "node", "start_word", "n_words", "source_docs", "similarity")
+    several = first.filter((F.col("last") > F.col("first")) & (F.col("n") >= min_words)).select("node", "check", "first")
+    copies = rows.select("doc", "node", "check", "n").join(several, ["node", "check"]).filter(F.col("doc") > F.col("first")).distinct()
+    whole = copies.select("doc", "node", F.lit(0).alias("start_word"), F.col("n").alias("n_words"), F.array("first").alias("source_docs"), F.lit(1.0).alias("similarity"))
+    return in_firsts.unionByName(whole), rows
 
-    return mapped(gathered, of, "doc_id long, start_word int, n_words int, source_doc_ids array<bigint>, similarity double")
+
+def passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = K, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, text_key, start_word, n_words, source_doc_ids, similarity of each passage that an earlier document holds too.
+
+    `text_key` tells texts apart that share a doc_id.
+    """
+    found, _ = _passages(docs, min_words, k, similarity)
+    return found.select(
+        F.nullif(F.col("doc"), F.lit(NO_ID).cast("long")).alias("doc_id"),
+        F.col("node").alias("text_key"),
+        "start_word",
+        "n_words",
+        F.transform("source_docs", lambda d: F.nullif(d, F.lit(NO_ID).cast("long"))).alias("source_doc_ids"),
+        "similarity",
+    )
 
 
 def without(text: str, cuts: list[tuple[int, int]]) -> str:
@@ -348,14 +557,20 @@ def without(text: str, cuts: list[tuple[int, int]]) -> str:
 
 
 def remove_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows of `docs` (doc_id, text, n_chars, ...) without their repeated passages; rows that lose all words go."""
-    found = passages(docs, min_words)
-    cuts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "n_words")).alias("cuts"))
-    rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    cuts = staged(cuts.withColumnRenamed("doc_id", "_id"), "cuts")
+    """The rows of `docs` (doc_id, text, n_chars, ...) without their repeated passages; rows that lose all words go.
+
+    A passage is cut from the rows with its doc_id and words, so that other texts of that doc_id stay as they are.
+    """
+    found, known = _passages(docs, min_words, K, SIMILARITY)
+    cuts = found.groupBy("doc", "node").agg(F.collect_list(F.struct("start_word", "n_words")).alias("cuts"))
+    texts = known.select("doc", "node", "h").distinct()  # texts of the same words can differ in capitals and blanks
+    cuts = staged(cuts.join(texts, ["doc", "node"]).select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), "cuts"), "cuts")
     few = (cuts.agg(F.sum(F.size("cuts") + 1)).first()[0] or 0) <= SMALL_IDS
-    both = rows.join(F.broadcast(cuts) if few else cuts, "_id", "left")
-    same = both.select("_row", F.col("_row.text").cast("string").alias("text"), F.coalesce("cuts", F.array().cast("array<struct<start_word:int,n_words:int>>")).alias("cuts"))
+    text = F.col("_row.text").cast("string")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    keyed = rows.select("_row", F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("_doc"), F.xxhash64(text).alias("_h"))
+    both = keyed.join(F.broadcast(cuts) if few else cuts, ["_doc", "_h"], "left")
+    same = both.select("_row", text.alias("text"), F.coalesce("cuts", F.array().cast("array<struct<start_word:int,n_words:int>>")).alias("cuts"))
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, cuts = strings(batch.column("text")), strings(batch.column("cuts"))
