@@ -1,6 +1,6 @@
 """Fuzzy repeated passages by collinear chaining of k-mer seeds.
 
-One text in four of its k-mers is a seed, chosen by the k-mer's hash alone, and
+One in three of a text's k-mers is a seed, chosen by the k-mer's hash alone, and
 one in eight of its `LONG`-word runs, which point past common phrases. Texts
 with the same words are one node, whose earliest row speaks for all; copies of
 it are passages as a whole. Nodes that share a seed match: all earlier holders
@@ -48,9 +48,13 @@ from tillstar.llm.common import TEXTS, hashes_of, mapped, mix, shingle_hashes, s
 
 K = 5
 #: One k-mer in so many is a seed, and one run of LONG words in so many.
-EVERY = 4
+EVERY = 3
 LONG = 10
 EVERY_LONG = 8
+#: Marks the place of a long seed; texts have fewer words.
+LONG_PLACE = 1 << 30
+#: Words that the matches of a chain cover at least: fewer are a phrase.
+COVERED = 8
 FEW = 6
 REACH = 50
 MIN_WORDS = 50
@@ -65,7 +69,7 @@ DROP = 8
 SMALL_IDS = 1_000_000
 #: Words that a task gathers before it sends their seeds, and text bytes of a hash partition, about.
 FLUSH = 1 << 20
-PART_BYTES = 16 << 20
+PART_BYTES = 32 << 20
 #: Stands for a missing doc_id: before all others.
 NO_ID = -(2**63)
 WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
@@ -92,18 +96,18 @@ def sampled(texts: list[np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray
         none = np.zeros(0, dtype=np.int64)
         return none.view(np.uint64), none, none.astype(np.int32)
     text = np.repeat(np.arange(len(texts)), lengths)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    place = (np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
     left = np.repeat(lengths, lengths) - place
     short = shingle_hashes(words, k)
     at = np.flatnonzero((left[: len(short)] >= k) & (short % np.uint64(EVERY) == 0))
-    found, places = [short[at]], [at]
+    found, of, places = [short[at]], [text[at]], [place[at]]
     if len(short) > LONG - k:
         long = mix(short[: len(short) - LONG + k] ^ mix(short[LONG - k :] + np.uint64(LONG)))
         at = np.flatnonzero((left[: len(long)] >= LONG) & (long % np.uint64(EVERY_LONG) == 0))
         found.append(long[at])
-        places.append(at)
-    at = np.concatenate(places)
-    return np.concatenate(found), text[at], place[at].astype(np.int32)
+        of.append(text[at])
+        places.append(place[at] | np.int32(LONG_PLACE))
+    return np.concatenate(found), np.concatenate(of), np.concatenate(places)
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -166,7 +170,8 @@ def matches(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
                 yield from _packed(_part(own, parts), own, other, None, place[linked], place[lead])
             kept = np.flatnonzero(~hot | (new_node & (number == first)))
             if len(kept):
-                yield from _packed(_part(seed[kept], parts), node[rank[kept]], seed[kept], doc[rank[kept]], place[kept], None)
+                low = seed[kept].astype(np.uint32)  # the partition tells as much again
+                yield from _packed(_part(seed[kept], parts), node[rank[kept]], low, doc[rank[kept]], place[kept], None)
 
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
@@ -195,7 +200,7 @@ def matches(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
                 if batch.column("y")[i].is_valid:
                     made.append(i)  # matches that a task has made already
                     continue
-                for column, name, kind in zip(cols, ("own", "other", "doc", "x"), (np.uint64, np.uint64, np.int64, np.int32)):
+                for column, name, kind in zip(cols, ("own", "other", "doc", "x"), (np.uint64, np.uint32, np.int64, np.int32)):
                     column.append(np.frombuffer(batch.column(name)[i].as_buffer(), dtype=kind).copy())
             if made:
                 yield batch.take(pa.array(made))
@@ -369,9 +374,12 @@ def pair_chains(x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[list[int
 
 def _chains(docs: DataFrame, k: int) -> DataFrame:
     """own, source (nodes) and the places of each chain."""
-    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
+    parts = max(1, math.ceil(size / PART_BYTES))
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["own", "source", "x", "y"])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list[np.ndarray]] = [[], [], [], []]
@@ -381,21 +389,32 @@ def _chains(docs: DataFrame, k: int) -> DataFrame:
         if not cols[0]:
             return
         own, source, x, y = (np.concatenate(c) for c in cols)
-        order = np.lexsort((y, x, source, own))
-        own, source, x, y = own[order], source[order], x[order], y[order]
+        long = x >= LONG_PLACE
+        x, y = x & (LONG_PLACE - 1), y & (LONG_PLACE - 1)
+        order = np.lexsort((~long, y, x, source, own))
+        own, source, x, y, long = own[order].view(np.int64), source[order].view(np.int64), x[order], y[order], long[order]
         new = np.ones(len(own), dtype=bool)
         new[1:] = (own[1:] != own[:-1]) | (source[1:] != source[:-1])
         kept = new.copy()
         kept[1:] |= (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-        starts = np.append(np.flatnonzero(new[kept]), kept.sum())
-        own, source, x, y = own[kept].view(np.int64), source[kept].view(np.int64), x[kept], y[kept]
+        own, source, x, y, long, new = own[kept], source[kept], x[kept], y[kept], long[kept], new[kept]
+        starts = np.append(np.flatnonzero(new), len(new))
+        # pairs that share a phrase alone are most, and need no chain
+        pair = np.cumsum(new) - 1
+        spread = np.maximum.reduceat(x, starts[:-1]) - np.minimum.reduceat(x, starts[:-1]) + k
+        some_long = np.bincount(pair, weights=long) > 0
         rows: list[tuple] = []
-        for i, j in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            rows += [(int(own[i]), int(source[i]), *c) for c in pair_chains(x[i:j], y[i:j], k)]
-            if len(rows) >= 4096 or j == len(x):
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["own", "source", "x", "y"])
+        for p in np.flatnonzero(some_long | (spread >= COVERED)).tolist():
+            i, j = int(starts[p]), int(starts[p + 1])
+            sure = set(zip(x[i:j][long[i:j]].tolist(), y[i:j][long[i:j]].tolist()))
+            for cx, cy in pair_chains(x[i:j], y[i:j], k):
+                if cx[-1] - cx[0] + k >= COVERED or (cx[0], cy[0]) in sure or (cx[-1], cy[-1]) in sure:
+                    rows.append((int(own[i]), int(source[i]), cx, cy))
+            if len(rows) >= 4096:
+                yield batch_of(rows)
                 rows = []
+        if rows:
+            yield batch_of(rows)
 
     by_own = matches(docs, parts, k).repartitionById(parts, F.col("part"))
     return by_own.mapInArrow(of, "own long, source long, x array<int>, y array<int>")
@@ -486,8 +505,13 @@ def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = S
         ended = made.filter(F.col("extend").isNull()).select("own", "start", "n_words", "source_doc", "source_start", "source_words", "similarity")
         done = ended if done is None else done.unionAll(ended)
         left = made.filter(F.col("extend").isNotNull()).select(*names)
-        if left.isEmpty():
+        few = left.select(F.col("own").alias("node")).unionAll(left.select("source")).distinct()
+        n = few.count()
+        if not n:
             return done
+        if n <= SMALL_IDS:  # the words of these nodes alone go on
+            source = source.join(F.broadcast(few.withColumnRenamed("node", "source")), "source", "left_semi")
+            later = later.join(F.broadcast(few.withColumnRenamed("node", "own")), "own", "left_semi")
 
 
 def merge(spans: list[tuple[int, int, int, float]], min_words: int, slack: int = 2) -> list[tuple[int, int, list[int], float]]:
