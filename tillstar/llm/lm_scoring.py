@@ -79,11 +79,17 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return codes, np.bincount(back, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes)).astype(np.int64)
 
 
+def _squeezed(rows: pa.Table) -> bytes:
+    """Whole texts travel compressed, many in one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def count_corpus(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words (word, n) counted over all training texts; codes (batch, code, n) of each batch, with how often its training texts have them; texts (batch, row, doc_id, text)."""
-    schema = pa.schema(
-        [("batch", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()), ("word", pa.binary()), ("code", pa.int64()), ("n", pa.int64())]
-    )
+    """Words (word, n) counted over all training texts; codes (batch, code, n) of each batch, with how often its training texts have them; texts (batch, texts), compressed slices of rows."""
+    schema = pa.schema([("batch", pa.int64()), ("texts", pa.binary()), ("word", pa.binary()), ("code", pa.int64()), ("n", pa.int64())])
 
     def made(size: int, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
@@ -130,8 +136,10 @@ def count_corpus(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFr
                     if len(counter) > 400_000:
                         yield words_batch(counter)
                         counter = Counter()
-                n = part.num_rows
-                yield made(n, batch=pa.array(owners, pa.int64()), row=pa.array(range(first, row), pa.int64()), doc_id=pa.array(ids, pa.int64()), text=pa.array(texts, pa.string()))
+                rows = pa.table({"row": pa.array(range(first, row), pa.int64()), "doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+                ends = [i for i in range(1, len(owners)) if owners[i] != owners[i - 1]] + [len(owners)]
+                for begin, end in zip([0, *ends], ends):
+                    yield made(1, batch=pa.array([owners[begin]]), texts=pa.array([_squeezed(rows.slice(begin, end - begin))], pa.binary()))
         parts += distinct(train, held_out)
         if parts:
             yield codes_batch(own, *_merged(parts))
@@ -139,10 +147,10 @@ def count_corpus(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFr
             yield words_batch(counter)
 
     seen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    seen = staged(seen.mapInArrow(over, "batch long, row long, doc_id long, text string, word binary, code long, n long"), "counts")
+    seen = staged(seen.mapInArrow(over, "batch long, texts binary, word binary, code long, n long"), "counts")
     words = seen.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
     codes = seen.filter(F.col("code").isNotNull()).select("batch", "code", "n")
-    return staged(words, "words"), codes, seen.filter(F.col("row").isNotNull()).select("batch", "row", "doc_id", "text")
+    return staged(words, "words"), codes, seen.filter(F.col("texts").isNotNull()).select("batch", "texts")
 
 
 class Table:
@@ -332,8 +340,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
         get = known.value
         table, log = Table(logs.column("code").to_numpy().astype(np.int64).view(np.uint64)), logs.column("log").to_numpy()
         made = [made_schema.empty_table()]
-        for at in range(0, texts.num_rows, 500):
-            part = texts.slice(at, 500)
+        slices = (pa.ipc.open_stream(value.as_buffer()).read_all() for value in texts.column("texts"))
+        for part in (rows.slice(at, 500) for rows in slices for at in range(0, rows.num_rows, 500)):
             ids = strings(part.column("doc_id"))
             raws = [_bytes_of(t) for t in strings(part.column("text"))]
             found = scores(raws, order, lambda code: log[table.find(code)])
