@@ -44,8 +44,6 @@ class WordIds:
 
     KEEP = 400_000
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%&*$#\"()\[\]-]*)")
-    BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
-
     def __init__(self, path: str):
         import json
 
@@ -65,7 +63,7 @@ class WordIds:
             ends = [i for token, i in model["vocab"].items() if token.endswith("</w>")]
             self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
             self.ends[ends] = True
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
     def _encode_runs(self, runs: list[str]) -> None:
@@ -81,37 +79,42 @@ class WordIds:
                 self.runs[run] = raw[4 * begin : 4 * cut]
                 begin = cut
 
-    def learn(self, words: set[str]) -> None:
-        """Encode the words that are not kept yet."""
+    def learn(self, words: set[bytes]) -> None:
+        """Encode the words, given in UTF-8, that are not kept yet."""
         if len(self.words) > self.KEEP:
             self.words.clear()
         if len(self.runs) > self.KEEP:
             self.runs.clear()
-        plain, rest, wanted = {}, [], set()
-        for word in words.difference(self.words):
-            m = self.PLAIN.fullmatch(word) if self.fast else None
+        plain, rest, wanted, runs = [], [], set(), self.runs
+        match = self.PLAIN.fullmatch if self.fast else lambda word: None
+        for raw in words.difference(self.words):
+            word = raw.decode("utf-8", "surrogatepass")
+            m = match(word)
             if m:
-                plain[word] = parts = (m[1].lower(), m[2])
-                wanted.update(p for p in parts if p and p not in self.runs)
+                letters, signs = m.groups()
+                letters = letters.lower()
+                plain.append((raw, letters, signs))
+                if letters not in runs:
+                    wanted.add(letters)
+                if signs and signs not in runs:
+                    wanted.add(signs)
             else:
                 rest.append(word)
-        self._encode_runs(list(wanted)) if wanted else None
-        runs = self.runs
+        if wanted:
+            self._encode_runs(list(wanted))
         runs[""] = b""
-        for word, (letters, signs) in plain.items():
-            self.words[word] = runs[letters] + runs[signs]
+        for raw, letters, signs in plain:
+            self.words[raw] = runs[letters] + runs[signs]
         for at in range(0, len(rest), 2000):
             part = rest[at : at + 2000]
             for word, made in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False)):
-                self.words[word] = np.array(made.ids, dtype="<u4").tobytes()
+                self.words[word.encode("utf-8", "surrogatepass")] = np.array(made.ids, dtype="<u4").tobytes()
 
-    def of(self, texts: list[str | None]) -> list[bytes]:
+    def of(self, texts: list[bytes | None]) -> list[bytes]:
+        """Ids of texts in UTF-8; bytes know no other blanks than ASCII's."""
         out = []
         for at in range(0, len(texts), 500):
-            split = [self.BLANKS.split(t.strip(" \t\n\r\x0b\x0c")) if t else [] for t in texts[at : at + 500]]
-            for ws in split:
-                if len(ws) > 0 and ws[0] == "":
-                    ws.pop(0)
+            split = [t.split() if t else [] for t in texts[at : at + 500]]
             self.learn(set().union(*split))
             get = self.words.__getitem__
             out += [b"".join(map(get, ws)) for ws in split]
@@ -134,7 +137,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[list] = [[], [], [], [], []]
-        encoded = word_ids(tokenizer).of(strings(batch.column("text")))
+        encoded = word_ids(tokenizer).of(strings(batch.column("text").cast(pa.binary())))
         for doc_id, ids in zip(strings(batch.column("doc_id")), encoded):
             ids = memoryview(ids + end)
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
