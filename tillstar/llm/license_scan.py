@@ -1,11 +1,11 @@
 """License scan: phrases by place, and templates by an exact set-similarity join.
 
-A text block (a line) matches a template when at least `threshold` of the
-template's distinct words are in the block. So does a window of the text's words
-across lines, of the template's length / `threshold`, as notices are wrapped;
-pieces of the word list that overlap by the widest window are blocks too, and
-their candidates are checked window by window. Words of the templates are ordered
-by how often they occur in the whole corpus, rarest first. A block that shares
+A window of a text's words, of the template's length / `threshold`, matches a
+template when at least `threshold` of the template's distinct words are in it,
+wherever its lines break, as notices are wrapped. Blocks are pieces of the word
+list that overlap by the widest window; their candidates are checked window by
+window. Words of the templates are ordered by how often they occur in the whole
+corpus, rarest first. A block that shares
 `need` of a template's `size` words must hold one of its first
 `size - need + 1`; such prefix words make the candidates. A candidate stays when
 the block has enough template words (length filter) and enough words are left
@@ -94,7 +94,7 @@ def template_index(blocks_words: DataFrame, templates, threshold: float):
     return order, listed
 
 
-def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD, block: str = "\n") -> DataFrame:
+def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every text."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -109,20 +109,16 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     least = min(need for *_, need in listed)
 
     key = [F.col("doc_id"), F.xxhash64("text").alias("h"), F.length("text").alias("n_chars")]
-    lines = texts.withColumn("joined", spaced(F.col("text"))).filter(F.arrays_overlap(split_words(F.col("joined")), F.lit(first)))
+    held = texts.withColumn("joined", spaced(F.col("text"))).filter(F.arrays_overlap(split_words(F.col("joined")), F.lit(first)))
     whole_words, step = split_words(F.col("joined")), F.lit(PIECE)
     begins = F.sequence(F.lit(0), F.floor((F.size(whole_words) - 1) / step).cast("int"))
-    pieces = lines.select(*key, F.posexplode(F.transform(begins, lambda i: F.slice(whole_words, i * step + 1, PIECE + max(widths)))).alias("piece", "words"))
+    pieces = held.select(*key, F.posexplode(F.transform(begins, lambda i: F.slice(whole_words, i * step + 1, PIECE + max(widths)))).alias("block", "words"))
     pieces = pieces.filter(F.arrays_overlap("words", F.lit(first)))
     spots = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: x["word"].isin(order))
     spots = F.transform(spots, lambda x: F.struct(x["pos"].alias("pos"), F.array_position(F.lit(order), x["word"]).cast("int").alias("place")))
-    pieces = pieces.select("doc_id", "h", "n_chars", (-1 - F.col("piece")).alias("block"), spots.alias("spots"))
-    pieces = pieces.select("doc_id", "h", "n_chars", "block", F.array_sort(F.array_distinct("spots.place")).alias("places"), "spots")
-    lines = lines.select(*key, F.posexplode(F.split("text", block)).alias("block", "line"))
-    known = F.filter(split_words(spaced(F.col("line"))), lambda w: w.isin(order))
-    places = F.array_sort(F.array_distinct(F.transform(known, lambda w: F.array_position(F.lit(order), w).cast("int"))))
-    blocks = lines.select("doc_id", "h", "n_chars", "block", places.alias("places"), F.lit(None).cast("array<struct<pos:int,place:int>>").alias("spots"))
-    blocks = blocks.unionAll(pieces).filter(F.size("places") >= least)
+    pieces = pieces.select("doc_id", "h", "n_chars", "block", spots.alias("spots"))
+    blocks = pieces.select("doc_id", "h", "n_chars", "block", F.array_sort(F.array_distinct("spots.place")).alias("places"), "spots")
+    blocks = blocks.filter(F.size("places") >= least)
     prefix = F.slice("places", 1, F.size("places") - least + 1)
     seeds = blocks.select("*", F.posexplode(prefix).alias("here", "place"))
     met = seeds.join(F.broadcast(index), "place")
@@ -137,8 +133,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
         """Distinct words of the template in the window that begins here."""
         return F.size(F.array_distinct(F.filter("own", lambda y: (y["pos"] >= x["pos"]) & (y["pos"] < x["pos"] + F.col("width"))).getField("place")))
 
-    best = F.when(F.col("spots").isNull(), F.col("common")).otherwise(F.array_max(F.transform("own", in_window)))
-    matched = checked.withColumn("common", best).filter(F.col("common") >= F.col("need"))
+    matched = checked.withColumn("common", F.array_max(F.transform("own", in_window))).filter(F.col("common") >= F.col("need"))
     found = matched.groupBy("doc_id", "h", "n_chars").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("size")).alias("best"))
 
     joined = F.concat(F.lit(" "), F.col("joined"), F.lit(" "))

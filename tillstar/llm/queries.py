@@ -124,7 +124,7 @@ SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang
 
 
 def _license_sql() -> str:
-    """Phrases by place and templates by containment, line by line, without the join's filters."""
+    """Phrases by place, and templates by containment in every window of words, without the join's filters."""
     lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
     places = []
@@ -136,18 +136,18 @@ def _license_sql() -> str:
     for label, text in license_scan.TEMPLATES:
         words = license_scan.template_words(text)
         need = math.ceil(license_scan.THRESHOLD * len(words) - 1e-9)
-        listed.append(f"('{label}', {words}, {need})")
+        width = license_scan.window_width(text, license_scan.THRESHOLD)
+        listed.append(f"('{label}', {words}, {need}, {width})")
     return f"""
 WITH w AS (SELECT doc_id, regexp_extract_all({lowered}, {word}) AS w FROM documents),
 p AS ({" UNION ALL ".join(places)}),
-t(label, words, need) AS (VALUES {", ".join(listed)}),
-l AS (
-  SELECT doc_id, list_distinct(regexp_extract_all({lowered}, {word})) AS w
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM documents)
-),
+t(label, words, need, width) AS (VALUES {", ".join(listed)}),
 m AS (
-  SELECT doc_id, label, CAST(len(list_intersect(l.w, t.words)) AS DOUBLE) / len(t.words) AS share
-  FROM l, t WHERE len(list_intersect(l.w, t.words)) >= t.need
+  SELECT doc_id, label, common / size AS share FROM (
+    SELECT doc_id, label, need, CAST(len(t.words) AS DOUBLE) AS size,
+           len(list_intersect(list_distinct(w.w[CAST(i + 1 AS BIGINT) : CAST(i + width AS BIGINT)]), t.words)) AS common
+    FROM w, unnest(range(0, len(w.w))) AS r(i), t WHERE list_contains(t.words, w.w[CAST(i + 1 AS BIGINT)])
+  ) WHERE common >= need
 ),
 b AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list_distinct(list(label)) AS labels FROM p GROUP BY doc_id),
 f AS (SELECT doc_id, max(share) AS best, list_distinct(list(label)) AS labels FROM m GROUP BY doc_id)
