@@ -5,13 +5,14 @@ Overlapping heuristic labellers vote on two aspects of a text, `junk` and
 pattern, of which there are at most 3^labellers. Expectation-maximisation over
 these counts gives the share of texts to reject and how often each labeller
 votes what in either class. The posterior of its pattern labels a text. A
-sample of at most about `sample` texts, drawn by hash of doc_id, with these
+sample of about `sample` texts, drawn row by row, with these
 labels trains a logistic scorer over hashed words and text statistics; it then
 scores every text, and so also catches what no labeller knows.
 
 Two toxic labellers learn their words from labelled texts, at most about
 `sample` of them: words of at least `min_texts` toxic texts of a language and
-of a tenth of these, that are much commoner there than in its other texts.
+of a tenth of these, that are much commoner there than in its other texts; of
+each language the commonest `MAX_LEARNED`.
 
 Defined results: a null or empty text has no words, every labeller abstains,
 and it is kept; repeated rows are scored alike; without labels the learned
@@ -27,7 +28,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm.common import TEXTS, mapped, staged, strings, words_of
@@ -36,6 +37,7 @@ SAMPLE = 20_000
 BUCKETS = 1 << 18
 STATS = 8
 MIN_TEXTS = 5
+#: Learned words of a language. The sample bounds the languages: each needs `min_texts` toxic texts in it.
 MAX_LEARNED = 500
 ASPECTS = ("junk", "toxic")
 #: A short list of insults in the languages of the corpus.
@@ -174,10 +176,8 @@ def train(rows: list[np.ndarray], targets: np.ndarray, rounds: int = 150, rate:
 
 
 def _sampled(docs: DataFrame, n: int, sample: int) -> DataFrame:
-    """About `sample` of n rows, by hash of doc_id."""
-    if n <= sample:
-        return docs
-    return docs.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
+    """About `sample` of n rows, each by itself, so that rows which share or lack an id come in proportion."""
+    return docs if n <= sample else docs.filter(F.rand(7) < sample / n)
 
 
 def learn_words(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, min_texts: int = MIN_TEXTS) -> frozenset[bytes]:
@@ -196,14 +196,16 @@ def learn_words(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE,
         kinds = (pa.string(), pa.binary(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["lang", "word", "bad", "good"])
 
-    counted = mapped(chosen.select("text", "lang", "toxic"), count, "lang string, word binary, bad long, good long")
+    counted = mapped(chosen.select("text", "lang", "toxic"), count, "lang string, word binary, bad long, good long", TEXTS)
     counted = staged(counted.groupBy("lang", "word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "words")
     whole = counted.filter(F.col("word") == F.lit(b"")).select("lang", F.col("bad").alias("all_bad"), F.col("good").alias("all_good"))
     share = F.col("bad") / F.col("all_bad")
     ratio = share / ((F.col("good") + 0.5) / F.col("all_good"))
     strong = counted.join(whole, "lang").filter((F.length("word") > 1) & (F.col("bad") >= min_texts) & (F.col("all_good") > 0))
-    strong = strong.filter((share >= 0.1) & (ratio >= 20)).groupBy("word").agg(F.sum("bad").alias("bad"))
-    return frozenset(bytes(r["word"]) for r in strong.orderBy(F.desc("bad"), "word").limit(MAX_LEARNED).collect())
+    strong = strong.filter((share >= 0.1) & (ratio >= 20))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("bad"), "word"))
+    best = strong.withColumn("place", place).filter(F.col("place") <= MAX_LEARNED).select("word").distinct()
+    return frozenset(bytes(r["word"]) for r in best.collect())
 
 
 class Model:
@@ -235,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> Mode
         rows = [(a, p, n) for (a, p), n in seen.items()]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["aspect", "pattern", "n"])
 
-    counted = mapped(texts.select("text"), vote, "aspect string, pattern string, n long").groupBy("aspect", "pattern").agg(F.sum("n").alias("n"))
+    counted = mapped(texts.select("text"), vote, "aspect string, pattern string, n long", TEXTS).groupBy("aspect", "pattern").agg(F.sum("n").alias("n"))
     patterns: dict[str, dict] = {a: {} for a in ASPECTS}
     for r in counted.collect():  # at most 3^7 + 3^4 rows
         patterns[r["aspect"]][tuple(map(int, r["pattern"].split(",")))] = r["n"]
@@ -251,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> Mode
             cols.append(pa.array(posterior(keys, *em[aspect])))
         return pa.RecordBatch.from_arrays(cols, ["at", *ASPECTS])
 
-    got = mapped(_sampled(texts, n, sample), describe, "at array<int>, junk double, toxic double").toArrow()
+    got = mapped(_sampled(texts, n, sample), describe, "at array<int>, junk double, toxic double", TEXTS).toArrow()
     rows = [np.asarray(x.values, dtype=np.int64) for x in got.column("at")]
     return Model(learned, em, {a: train(rows, got.column(a).to_numpy()) for a in ASPECTS})
 
