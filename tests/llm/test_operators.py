@@ -221,7 +221,7 @@ def test_word_ids_equal_the_tokenizer():
     path = registered.tokenizer_path()
     whole = Tokenizer.from_file(path)
     texts = ["It's <|endoftext|> A,b;c  ÀÉß x́y \x1c z ÿ× 12a3 语言 don't!!", None, "", "ﬁ İ ΣΑΣ   a b", "é\te\ń"]
-    got = packing.WordIds(path).of(texts)
+    got = packing.WordIds(path).of([None if t is None else t.encode() for t in texts])
     assert got == [np.array(whole.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
 
 

@@ -12,8 +12,8 @@ moved once and no window spans the table.
 
 Defined results: a null or empty text has the empty fingerprint, and two empty
 ones have likeness 1; equal texts have equal fingerprints; repeated doc_ids
-follow one another by text; rows without a doc_id have no place in the order
-and are left out; a lone document is its own next one; other columns are not
+follow one another by text; rows without a doc_id come before all others, by
+text (a doc_id of -2^63 stands for them); a lone document is its own next one; other columns are not
 read; an empty table gives no rows.
 """
 
@@ -32,6 +32,8 @@ from tillstar.llm.common import mapped, strings
 SIZE = 128
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 BYTES_PER_RANGE = 16 << 20
+#: Stands for a missing doc_id.
+NO_ID = -(2**63)
 
 
 def parse(seen: set[bytes], pending: bytes, data: bytes) -> bytes:
@@ -80,7 +82,8 @@ def with_edit(text: str, following: str, size: int = SIZE) -> tuple[str, str, st
 
 def in_ranges(docs: DataFrame) -> DataFrame:
     """doc_id, text, bucket, extra: texts dealt by ranges of doc_id, each range with the text that follows it as an extra row."""
-    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0.0
     ranges = max(8, int(size // BYTES_PER_RANGE))
     fractions = [i / ranges for i in range(ranges)]
@@ -100,7 +103,8 @@ def in_ranges(docs: DataFrame) -> DataFrame:
         )
 
     dealt = mapped(rows, deal, "doc_id long, text string, bucket long, extra boolean")
-    return dealt.repartition(len(splits) or 1, "bucket").sortWithinPartitions("bucket", "extra", "doc_id", "text")
+    # the number of a range is that of its partition
+    return dealt.repartitionById(len(splits) or 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "extra", "doc_id", "text")
 
 
 def fingerprint_documents(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -113,7 +117,7 @@ def fingerprint_documents(docs: DataFrame, size: int = SIZE) -> DataFrame:
             cols: list[list] = [[], [], [], [], [], [], []]
 
             def put(row, next_print):
-                for column, value in zip(cols, (*row, likeness(row[3], next_print, size))):
+                for column, value in zip(cols, (None if row[0] == NO_ID else row[0], *row[1:], likeness(row[3], next_print, size))):
                     column.append(value)
 
             for doc_id, text, bucket, extra in zip(*(strings(batch.column(i)) for i in range(4))):

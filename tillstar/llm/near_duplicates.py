@@ -43,7 +43,8 @@ SIGMAS = 4.7
 SMALL_BUCKET = 32
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 32 << 20
-SMALL_IDS = 1_000_000
+#: Nodes whose ids, signatures and set keys (about 250 bytes each) are broadcast: 64 MB at most.
+SMALL_IDS = 250_000
 
 _seeds = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 

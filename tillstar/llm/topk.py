@@ -12,7 +12,8 @@ smallest ids; that is all a result can name. Query blocks meet vector blocks in
 a join on the number of the query block.
 
 Defined results: a vector that is null, has no components or has a null or
-non-finite one takes no part, nor has a null vec_id; a repeated vec_id with the
+non-finite one takes no part, nor does one without a vec_id, nor one so long that a
+score could leave 64 bits (`LONGEST`); a repeated vec_id with the
 same vector counts once; vectors meet only queries of their own length; ties go
 to the smaller vec_id; other columns are not read; an empty table gives no rows.
 """
@@ -30,12 +31,15 @@ PARTS = 2
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 8192
 EXACT_FLOAT = 2**53
+#: Squared length, in quantised units, from which on scores could leave 64 bits.
+LONGEST = float(2**62)
 
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
     """vec_id and floor(scale * x) of each component, of the vectors that take part."""
     scaled = F.transform("embedding", lambda x: F.lit(float(scale)) * x.cast("double"))
     sound = F.forall("scaled", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    sound = sound & (F.aggregate("scaled", F.lit(0.0), lambda a, x: a + x * x) < LONGEST)
     rows = vectors.select("vec_id", scaled.alias("scaled")).filter(F.col("vec_id").isNotNull() & (F.size("scaled") > 0) & F.coalesce(sound, F.lit(False)))
     return rows.select("vec_id", F.transform("scaled", lambda x: F.floor(x).cast("long")).alias("v")).distinct()
 

@@ -106,12 +106,13 @@ def header_lines(headers: Column) -> Column:
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:
-    """Crawl records that `pages` stands for: a response for each page, and later revisits of two thirds of them.
+    """Crawl records that `pages` stands for: a response for each page, and a later revisit of it.
 
     A response is taken at page_id, with the MD5 of its page as entity tag (not
-    for every fifth page) and a modification time. A page with page_id % 3 > 0
-    is visited again a million later; every seventh of these revisits carries
-    another tag, and revisits of every eleventh page ask for an unknown URL.
+    for every fifth page) and a modification time. Each page is visited again a
+    million later, also one without a page_id, whose time is unknown; every
+    seventh of these revisits carries another tag, and revisits of every
+    eleventh page ask for an unknown URL.
     """
     p = F.col("page_id")
     tag = F.when(p % 5 != 0, F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"')))
@@ -135,7 +136,7 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
             ("last-modified", dated),
         ).alias("headers"),
     )
-    again = pages.filter(p % 3 > 0).select(
+    again = pages.select(
         (p * 2 + 1).alias("record_id"),
         F.lit("revisit").alias("kind"),
         F.when(p % 11 == 0, F.concat("url", F.lit("/gone"))).otherwise(F.col("url")).alias("url"),
