@@ -143,6 +143,15 @@ def test_large_groups_link_to_their_first(spark, monkeypatch):
     assert left == set(range(300)) | {1000}
 
 
+def test_words_that_repeat_without_end_make_few_chains(spark):
+    """Texts of one line over and over: no chain per place, and the copies are found."""
+    rows = [(i, " ".join(unique(9, "line") * (40 + 10 * i) + unique(5, i))) for i in range(30)]
+    chains = op._chains(frame(spark, rows), op.K)
+    assert chains.count() <= 20 * 30
+    found = spans_of(spark, rows)
+    assert set(found) == set(range(1, 30)) and all(v[0][1] - v[0][0] >= 340 for v in found.values())
+
+
 def test_rows_without_an_id_come_first(spark):
     passage = unique(60, "p")
     rows = [(None, " ".join(passage)), (0, " ".join(unique(10, "a") + passage)), (None, None), (5, ""), (None, " ".join(unique(20, "z")))]

@@ -55,6 +55,8 @@ EVERY_LONG = 8
 LONG_PLACE = 1 << 30
 #: Words that the matches of a chain cover at least: fewer are a phrase.
 COVERED = 8
+#: A seed that comes again within so many words is one place.
+PERIOD = 20
 FEW = 6
 REACH = 50
 MIN_WORDS = 50
@@ -160,6 +162,9 @@ def matches(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
             seed, rank, place = sampled([held[n][1] for _, n in rows], k)
             order = np.lexsort((place, rank, seed))
             seed, rank, place = seed[order], rank[order], place[order]
+            again = np.zeros(len(seed), dtype=bool)  # words that repeat with a short period: the first place stands for the run
+            again[1:] = (seed[1:] == seed[:-1]) & (rank[1:] == rank[:-1]) & (np.diff(place) <= PERIOD)
+            seed, rank, place = seed[~again], rank[~again], place[~again]
             new_node, number, first, nodes = _groups(seed, rank)
             hot = nodes > FEW
             leads = np.flatnonzero(new_node)
