@@ -109,3 +109,16 @@ def test_mix_realises_the_budgets_of_a_brute_force_plan(spark):
     placed = sorted(got, key=lambda r: r.mix_at)
     half = Counter(r.source for r in placed[: len(placed) // 2])
     assert all(abs(half[s] / (len(placed) // 2) - w[s]) < 0.1 for s in sizes)
+
+
+def test_classifier_on_held_out_labels(spark):
+    """Words are learned from one half of the labels; the other half is judged."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    judged = quality.classify(docs, labels.filter("doc_id % 2 = 0")).select("row.doc_id", "junk", F.col("toxic").alias("toxic_score"), "rejected")
+    rows = judged.join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    clean = [r for r in rows if r.quality == 1 and r.toxic == 0]
+    toxic, junk = [r for r in rows if r.toxic == 1], [r for r in rows if r.quality == 0]
+    assert sum(r.rejected for r in clean) <= 0.002 * len(clean)
+    assert sum(r.toxic_score > 0.5 for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r.junk > 0.5 for r in junk) >= 0.95 * len(junk)
