@@ -69,9 +69,11 @@ GAP = 0.15
 EXTEND = 60
 DROP = 8
 SMALL_IDS = 1_000_000
+#: Chains, with the words around them, that a worker turns into Python objects at a time.
+CHAINS = 200
 #: Words that a task gathers before it sends their seeds, and text bytes of a hash partition, about.
-FLUSH = 1 << 20
-PART_BYTES = 32 << 20
+FLUSH = 1 << 19
+PART_BYTES = 8 << 20
 #: Stands for a missing doc_id: before all others.
 NO_ID = -(2**63)
 WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
@@ -191,9 +193,9 @@ def matches(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
                         held[node] = (doc, words)
                     elif doc < held[node][0]:
                         held[node] = (doc, words)
-                if size >= FLUSH:
-                    yield from flush()
-                    held, size = {}, 0
+                    if size >= FLUSH:
+                        yield from flush()
+                        held, size = {}, 0
         if held:
             yield from flush()
 
@@ -504,9 +506,9 @@ def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = S
 
     done, left = None, found.withColumn("extend", F.lit(EXTEND))
     while True:
-        placed = mapped(left.join(source, "source"), cut, f"{chained}, source_doc long, begin int, total int, part binary", TEXTS)
+        placed = mapped(left.join(source, "source"), cut, f"{chained}, source_doc long, begin int, total int, part binary", CHAINS)
         schema = f"{chained}, source_doc long, start int, n_words int, source_start int, source_words int, similarity double"
-        made = staged(mapped(placed.join(later, "own"), match, schema, TEXTS), "aligned")
+        made = staged(mapped(placed.join(later, "own"), match, schema, CHAINS), "aligned")
         ended = made.filter(F.col("extend").isNull()).select("own", "start", "n_words", "source_doc", "source_start", "source_words", "similarity")
         done = ended if done is None else done.unionAll(ended)
         left = made.filter(F.col("extend").isNotNull()).select(*names)
