@@ -66,7 +66,9 @@ MIN_CHAIN = 20
 SIMILARITY = 0.8
 MATCH = 4.0
 GAP = 0.15
+#: Words around a chain that are fetched at first, and how many times as many whenever they run out.
 EXTEND = 60
+FURTHER = 8
 DROP = 8
 SMALL_IDS = 1_000_000
 #: Chains, with the words around them, that a worker turns into Python objects at a time.
@@ -433,7 +435,7 @@ def _rows(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     Up to SMALL_IDS nodes go to the tasks as a sorted array of 8 bytes each; with more, every row has its words.
     """
     few = nodes.count() <= SMALL_IDS
-    listed = np.sort(np.array([r[0] for r in nodes.collect()], dtype=np.int64)) if few else None
+    listed = np.sort(nodes.toArrow().column(0).to_numpy()) if few else None
     wanted = docs.sparkSession.sparkContext.broadcast(listed)
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -482,7 +484,7 @@ def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = S
     results = ["source_doc", "start", "n_words", "source_start", "source_words", "similarity"]
 
     def match(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """The chain's alignment; or the chain with twice the words around it, where those fetched ran out."""
+        """The chain's alignment; or the chain, to come with more words around it, where those fetched ran out."""
         made = []
         cols = [strings(batch.column(c)) for c in (*names, "source_doc", "begin", "total", "part")]
         for own, other_node, xs, ys, extend, doc, begin, total, part, raw in zip(*cols, batch.column("words")):
@@ -499,16 +501,16 @@ def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = S
                     at = 1 + int(np.argmax(np.diff(x) + np.diff(y)))
                     waiting += [(x[:at], y[:at]), (x[at:], y[at:])]
                 elif ran_out:
-                    made.append((own, other_node, x, y, 2 * extend, None, None, None, None, None, None))
+                    made.append((own, other_node, x, y, FURTHER * extend, None, None, None, None, None, None))
                 elif share >= similarity and n >= MIN_CHAIN:
                     made.append((own, other_node, None, None, None, doc, start + low, n, y0 + begin, m, share))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(kinds)], [*names, *results])
 
-    done, left = None, found.withColumn("extend", F.lit(EXTEND))
+    done, left, wanted = None, found.withColumn("extend", F.lit(EXTEND)), (source, later)
     while True:
-        placed = mapped(left.join(source, "source"), cut, f"{chained}, source_doc long, begin int, total int, part binary", CHAINS)
+        placed = mapped(left.join(wanted[0], "source"), cut, f"{chained}, source_doc long, begin int, total int, part binary", CHAINS)
         schema = f"{chained}, source_doc long, start int, n_words int, source_start int, source_words int, similarity double"
-        made = staged(mapped(placed.join(later, "own"), match, schema, CHAINS), "aligned")
+        made = staged(mapped(placed.join(wanted[1], "own"), match, schema, CHAINS), "aligned")
         ended = made.filter(F.col("extend").isNull()).select("own", "start", "n_words", "source_doc", "source_start", "source_words", "similarity")
         done = ended if done is None else done.unionAll(ended)
         left = made.filter(F.col("extend").isNotNull()).select(*names)
@@ -516,9 +518,10 @@ def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = S
         n = few.count()
         if not n:
             return done
+        few = staged(few, "few")
         if n <= SMALL_IDS:  # the words of these nodes alone go on
-            source = source.join(F.broadcast(few.withColumnRenamed("node", "source")), "source", "left_semi")
-            later = later.join(F.broadcast(few.withColumnRenamed("node", "own")), "own", "left_semi")
+            named = [F.broadcast(few.withColumnRenamed("node", name)) for name in ("source", "own")]
+            wanted = source.join(named[0], "source", "left_semi"), later.join(named[1], "own", "left_semi")
 
 
 def merge(spans: list[tuple[int, int, int, float]], min_words: int, slack: int = 2) -> list[tuple[int, int, list[int], float]]:
