@@ -184,3 +184,17 @@ def test_a_far_apart_pair_of_runs_is_two_chains():
     assert sorted(c[0][0] for c in chains) == [0, 8000] and time.time() - started < 1
     a, b = list(range(3000)), list(range(0, 3000, 2))
     assert op.common_length(a, b) == 1500 and time.time() - started < 2
+
+
+def test_every_shared_run_of_a_window_of_kmers_gives_both_texts_a_seed():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    run = op.WINDOW + op.K - 1
+    for _ in range(300):
+        shared = rng.integers(1, 2**63, run, dtype=np.uint64)
+        a = np.concatenate([rng.integers(1, 2**63, 30, dtype=np.uint64), shared, rng.integers(1, 2**63, 17, dtype=np.uint64)])
+        b = np.concatenate([rng.integers(1, 2**63, 3, dtype=np.uint64), shared])
+        seed, text, place = op.sampled([a, b])
+        short = place < op.LONG_PLACE
+        assert set(seed[short & (text == 0)]) & set(seed[short & (text == 1)])

@@ -1,7 +1,9 @@
 """Fuzzy repeated passages by collinear chaining of k-mer seeds.
 
 One in three of a text's k-mers is a seed, chosen by the k-mer's hash alone, and
-one in eight of its `LONG`-word runs, which point past common phrases. Texts
+the least of every `WINDOW` consecutive k-mers without one, so that every run of
+`WINDOW` + K - 1 words that two texts share gives both a seed; and one in eight
+of its `LONG`-word runs, which point past common phrases. Texts
 with the same words are one node, whose earliest row speaks for all; copies of
 it are passages as a whole. Nodes that share a seed match: all earlier holders
 of a seed with up to `FEW` of them, the first holder of a more frequent one. A
@@ -16,7 +18,9 @@ chained. Every chain, also of one match, fetches the words of the earlier node
 around it and is aligned with those of the later one: gaps between seeds word by
 word, or by longest common subsequence where their lengths differ, ends by
 extension until mismatches outweigh matches, with more words while the fetched
-ones run out. A chain that is not alike as a whole is parted at its widest gap.
+ones run out. A chain that is not alike as a whole is parted at its widest gap,
+and one that is at a hole: over `TRIMMED` words between two matches, under half
+of which agree.
 Chains of a node that overlap or touch make a passage. Words are compared by
 32-bit hashes.
 
@@ -49,6 +53,8 @@ from tillstar.llm.common import TEXTS, hashes_of, mapped, mix, shingle_hashes, s
 K = 5
 #: One k-mer in so many is a seed, and one run of LONG words in so many.
 EVERY = 3
+#: So many consecutive k-mers hold a seed at least: their least one where none is chosen by hash.
+WINDOW = 5
 LONG = 10
 EVERY_LONG = 8
 #: Marks the place of a long seed; texts have fewer words.
@@ -105,7 +111,7 @@ def sampled(texts: list[np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray
     place = (np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
     left = np.repeat(lengths, lengths) - place
     short = shingle_hashes(words, k)
-    at = np.flatnonzero((left[: len(short)] >= k) & (short % np.uint64(EVERY) == 0))
+    at = _winnowed(short, left[: len(short)], lengths, k)
     found, of, places = [short[at]], [text[at]], [place[at]]
     if len(short) > LONG - k:
         long = mix(short[: len(short) - LONG + k] ^ mix(short[LONG - k :] + np.uint64(LONG)))
@@ -116,6 +122,24 @@ def sampled(texts: list[np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(found), np.concatenate(of), np.concatenate(places)
 
 
+def _winnowed(short: np.ndarray, left: np.ndarray, lengths: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k-mers chosen by hash, and of the least k-mer of every WINDOW consecutive ones, or of a text with
+    fewer, that hold none of them."""
+    chosen = (left >= k) & (short % np.uint64(EVERY) == 0)
+    extra = []
+    if len(short) >= WINDOW:
+        held = np.concatenate([[0], np.cumsum(chosen)])
+        starts = np.flatnonzero((left[: len(short) - WINDOW + 1] >= k + WINDOW - 1) & (held[WINDOW:] == held[: -WINDOW]))
+        if len(starts):  # windows inside one text without a seed
+            least = np.lib.stride_tricks.sliding_window_view(short, WINDOW)[starts].argmin(axis=1)
+            extra.append(starts + least)
+    few = np.flatnonzero((lengths >= k) & (lengths < k + WINDOW - 1))
+    for start, n in zip((np.cumsum(lengths) - lengths)[few], lengths[few]):
+        if not chosen[start : start + n - k + 1].any():
+            extra.append(np.array([start + int(np.argmin(short[start : start + n - k + 1]))]))
+    return np.unique(np.concatenate([np.flatnonzero(chosen), *extra]))
+
+
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((mix(hashes) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
 
@@ -365,6 +389,19 @@ def align(mine: list, other: list, x: list[int], y: list[int], k: int = K) -> tu
     return x[0] - left, n_x, y[0] - left, n_y, agree / max(n_x, n_y)
 
 
+def hole(mine: list, other: list, x: list[int], y: list[int], k: int = K) -> int:
+    """Number of the first match after a hole: over TRIMMED words between two matches in either text, under half of which
+    agree; else 0."""
+    at_x, at_y = x[0] + k, y[0] + k
+    for n, (i, j) in enumerate(zip(x[1:], y[1:]), 1):
+        gap_x, gap_y = mine[at_x:i], other[at_y:j]
+        wide = max(len(gap_x), len(gap_y))
+        if wide > TRIMMED and 2 * common_length(gap_x, gap_y) < wide:
+            return n
+        at_x, at_y = max(at_x, i + k), max(at_y, j + k)
+    return 0
+
+
 def pair_chains(x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[list[int], list[int]]]:
     """The chains of two nodes' matches, parted where more than REACH words lie between two."""
     x, y = thinned(x, y, k)
@@ -495,11 +532,15 @@ def aligned(found: DataFrame, rows: DataFrame, k: int = K, similarity: float = S
             waiting = [(xs, ys)]
             while waiting:
                 x, y = waiting.pop()
-                start, n, y0, m, share = align(mine, other, [v - low for v in x], [v - begin for v in y], k)
+                here_x, here_y = [v - low for v in x], [v - begin for v in y]
+                start, n, y0, m, share = align(mine, other, here_x, here_y, k)
                 ran_out = start == 0 < low or y0 == 0 < begin or start + n == len(mine) < len(whole) - low or y0 + m == len(other) < total - begin
+                split = hole(mine, other, here_x, here_y, k) if share >= similarity else 0
                 if share < similarity and len(x) > 1:
                     at = 1 + int(np.argmax(np.diff(x) + np.diff(y)))
                     waiting += [(x[:at], y[:at]), (x[at:], y[at:])]
+                elif split:  # words between two matches that are not alike: two passages
+                    waiting += [(x[:split], y[:split]), (x[split:], y[split:])]
                 elif ran_out:
                     made.append((own, other_node, x, y, FURTHER * extend, None, None, None, None, None, None))
                 elif share >= similarity and n >= MIN_CHAIN:
