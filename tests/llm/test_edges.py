@@ -122,3 +122,17 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(r.rejected for r in clean) <= 0.002 * len(clean)
     assert sum(r.toxic_score > 0.5 for r in toxic) >= 0.85 * len(toxic)
     assert sum(r.junk > 0.5 for r in junk) >= 0.95 * len(junk)
+
+
+def test_scoring_sends_a_string_text_once_with_the_scores_of_a_cast_one(spark):
+    """A string text reaches the workers only inside its row; other types still go beside it as strings, scored alike."""
+    folder = "/root/testdata/sf0.01"
+    model = quality.fit(*(spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels")))
+    texts = [None, "", "Buy now!!! cheap cheap cheap", "The committee met on Tuesday to discuss the budget."]
+    docs = spark.createDataFrame([(i, texts[i % 4] and f"{texts[i % 4]} {i}", i % 3) for i in range(2500)], "doc_id long, text string, source int")
+    scored = quality.score(docs, model)
+    assert " AS text#" not in scored._jdf.queryExecution().analyzed().toString()
+    cast = quality.score(docs.withColumn("text", F.col("text").cast("binary")), model)
+    got = {r.doc_id: (r.text, r.junk, r.toxic) for r in scored.select("row.*", "junk", "toxic").collect()}
+    apart = {r.doc_id: (None if r.text is None else bytes(r.text).decode(), r.junk, r.toxic) for r in cast.select("row.*", "junk", "toxic").collect()}
+    assert len(got) == 2500 and got == apart

@@ -27,9 +27,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tillstar.llm.common import TEXTS, mapped, staged, strings, words_of
 
@@ -262,11 +264,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs` as struct `row`, with junk and toxic scores from 0 to 1."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    # a string text crosses to the workers once, inside the row; a text of another type goes beside it as a string
+    apart = not isinstance(docs.schema["text"].dataType, StringType)
+    whole = docs.select(row, F.col("text").cast("string").alias("text")) if apart else docs.select(row)
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = shared.value
-        made = [own.score(Facts(t, own.learned)) for t in strings(batch.column("text"))]
+        texts = batch.column("text") if apart else pc.struct_field(batch.column("row"), "text")
+        made = [own.score(Facts(t, own.learned)) for t in strings(texts)]
         cols = [pa.array([m[a] for m in made], pa.float64()) for a in ASPECTS]
         return pa.RecordBatch.from_arrays([batch.column("row"), *cols], ["row", *ASPECTS])
 
