@@ -201,6 +201,21 @@ def test_zorder_of_an_empty_and_of_a_constant_table(spark, rows, tmp_path):
         assert rows(tables.read_table(spark, z)) == data
 
 
+def test_ranges_stay_within_a_task_s_memory_whatever_the_files_pack(spark, rows, tmp_path, monkeypatch):
+    """Texts that pack small on disk still fill memory when sorted: the ranges follow their size as held."""
+    data = [(i, i % 7, "x" * 5000) for i in range(2000)]
+    source = str(tmp_path / "s")
+    tables.write_table(spark.createDataFrame(data, "id int, a int, t string").repartition(1), source)
+    monkeypatch.setattr(tables, "FILE_BYTES", 1 << 40)
+    monkeypatch.setattr(tables, "TASK_BYTES", 1 << 20, raising=False)
+    for rewrite, target in ((tables.compact, "c"), (tables.zorder, "z")):
+        rewrite(spark, source, str(tmp_path / target), ("a", "id"))
+        out = tables.read_table(spark, str(tmp_path / target))
+        per_file = [r["count"] for r in out.groupBy(F.col("_metadata.file_name")).count().collect()]
+        assert rows(out) == rows(tables.read_table(spark, source))
+        assert len(per_file) >= 8 and max(per_file) <= 2 * (1 << 20) // 5000
+
+
 # --- feeds and batches
 
 
