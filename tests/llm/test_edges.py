@@ -136,3 +136,23 @@ def test_scoring_sends_a_string_text_once_with_the_scores_of_a_cast_one(spark):
     got = {r.doc_id: (r.text, r.junk, r.toxic) for r in scored.select("row.*", "junk", "toxic").collect()}
     apart = {r.doc_id: (None if r.text is None else bytes(r.text).decode(), r.junk, r.toxic) for r in cast.select("row.*", "junk", "toxic").collect()}
     assert len(got) == 2500 and got == apart
+
+
+def test_every_text_trains_the_scorer(spark):
+    """Ten times as many texts as a shard has, each with a word of its own: every word has a weight."""
+    words = [f"word{i}x" for i in range(200)]
+    docs = spark.createDataFrame([(i, "en", f"some common text with {w}") for i, w in enumerate(words)], "doc_id long, lang string, text string")
+    model = quality.fit(docs, None, sample=20)
+    for aspect in quality.ASPECTS:
+        weights, _ = model.scorer[aspect]
+        own = [weights[quality.xxhash.xxh3_64_intdigest(w.encode()) % quality.BUCKETS] for w in words]
+        assert all(own)
+
+
+def test_words_are_learned_from_all_labelled_texts(spark):
+    """More toxic words than any list of 500, each in all six toxic texts."""
+    bad = [f"bad{i}" for i in range(700)]
+    rows = [(i, "en", " ".join(bad) if i < 6 else f"a good text about {i}") for i in range(206)]
+    docs = spark.createDataFrame([(i, lang, text) for i, lang, text in rows], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, int(i < 6)) for i in range(206)], "doc_id long, toxic int")
+    assert quality.learn_words(docs, labels) == {w.encode() for w in bad}

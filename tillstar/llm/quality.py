@@ -4,15 +4,16 @@ Overlapping heuristic labellers vote on two aspects of a text, `junk` and
 `toxic`: reject, keep, or abstain. The votes of all texts are counted by
 pattern, of which there are at most 3^labellers. Expectation-maximisation over
 these counts gives the share of texts to reject and how often each labeller
-votes what in either class. The posterior of its pattern labels a text. A
-sample of about `sample` texts, drawn row by row, with these
-labels trains a logistic scorer over hashed words and text statistics; it then
+votes what in either class. The posterior of its pattern labels a text. All
+texts with these labels train a logistic scorer over hashed words and text
+statistics, in shards of about `sample` texts: a task trains on each shard, and
+the scorer's weights are the means of the shards' by their texts. It then
 scores every text, and so also catches what no labeller knows.
 
-Two toxic labellers learn their words from labelled texts, at most about
-`sample` of them: words of at least `min_texts` toxic texts of a language and
-of a tenth of these, that are much commoner there than in its other texts; of
-each language the commonest `MAX_LEARNED`.
+Two toxic labellers learn their words from all labelled texts: words of at
+least `min_texts` toxic texts of a language and of a tenth of these, that are
+much commoner there than in its other texts. A language has at most ten times
+as many as its toxic texts have distinct words on average.
 
 Defined results: a null or empty text has no words, every labeller abstains,
 and it is kept; repeated rows are scored alike; without labels the learned
@@ -24,23 +25,27 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tillstar.llm.common import TEXTS, mapped, staged, strings, words_of
 
+#: Texts of a shard, on which one task trains.
 SAMPLE = 20_000
 BUCKETS = 1 << 18
 STATS = 8
 MIN_TEXTS = 5
-#: Learned words of a language. The sample bounds the languages: each needs `min_texts` toxic texts in it.
-MAX_LEARNED = 500
+#: Labelled doc_ids (16 bytes each) that are broadcast.
+SMALL_IDS = 1_000_000
+#: Place of the scorer's constant among its weights.
+BIAS = -1
 ASPECTS = ("junk", "toxic")
 #: A short list of insults in the languages of the corpus.
 INSULTS = frozenset(
@@ -155,25 +160,30 @@ WIDTH = BUCKETS + 8 * STATS
 
 
 def train(rows: list[np.ndarray], targets: np.ndarray, rounds: int = 150, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by Adam over the whole sample."""
+    """Logistic regression on soft labels, by Adam over all rows; each has a feature at least."""
     weights, bias = np.zeros(WIDTH), 0.0
     if not rows:
         return weights, -10.0
     sizes = np.array([len(r) for r in rows])
-    index, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
+    seen, index = np.unique(np.concatenate(rows), return_inverse=True)
+    begins = np.cumsum(sizes) - sizes
+    by_feature = np.argsort(index, kind="stable")
+    of = np.repeat(np.arange(len(rows)), sizes)[by_feature]
+    first = np.searchsorted(index[by_feature], np.arange(len(seen)))
     share = min(max(float(targets.mean()), 1e-3), 1 - 1e-3)
     bias = math.log(share / (1 - share))
-    m, v, mb, vb = np.zeros(WIDTH), np.zeros(WIDTH), 0.0, 0.0
+    own, m, v, mb, vb = np.zeros(len(seen)), np.zeros(len(seen)), np.zeros(len(seen)), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(of, weights=weights[index], minlength=len(rows)) + bias
+        z = np.add.reduceat(own[index], begins) + bias
         gap = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - targets
-        g = np.bincount(index, weights=gap[of], minlength=WIDTH) / len(rows) + decay * weights
+        g = np.add.reduceat(gap[of], first) / len(rows) + decay * own
         gb = float(gap.mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         scale = rate * math.sqrt(1 - 0.999**t) / (1 - 0.9**t)
-        weights -= scale * m / (np.sqrt(v) + 1e-7)
+        own -= scale * m / (np.sqrt(v) + 1e-7)
         bias -= scale * mb / (math.sqrt(vb) + 1e-7)
+    weights[seen] = own
     return weights, bias
 
 
@@ -182,13 +192,13 @@ def _sampled(docs: DataFrame, n: int, sample: int) -> DataFrame:
     return docs if n <= sample else docs.filter(F.rand(7) < sample / n)
 
 
-def learn_words(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, min_texts: int = MIN_TEXTS) -> frozenset[bytes]:
-    """Words that toxic texts have far more often than others, from a bounded sample of labelled texts."""
+def learn_words(docs: DataFrame, labels: DataFrame | None, min_texts: int = MIN_TEXTS) -> frozenset[bytes]:
+    """Words that toxic texts have far more often than others, from all labelled texts."""
     if labels is None:
         return frozenset()
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = _sampled(known, known.count(), sample)
-    chosen = docs.join(F.broadcast(known), "doc_id")  # at most about `sample` rows
+    known = staged(known, "known")
+    chosen = docs.join(F.broadcast(known) if known.count() <= SMALL_IDS else known, "doc_id")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         seen: dict[tuple, Counter] = {}
@@ -204,10 +214,8 @@ def learn_words(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE,
     share = F.col("bad") / F.col("all_bad")
     ratio = share / ((F.col("good") + 0.5) / F.col("all_good"))
     strong = counted.join(whole, "lang").filter((F.length("word") > 1) & (F.col("bad") >= min_texts) & (F.col("all_good") > 0))
-    strong = strong.filter((share >= 0.1) & (ratio >= 20))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("bad"), "word"))
-    best = strong.withColumn("place", place).filter(F.col("place") <= MAX_LEARNED).select("word").distinct()
-    return frozenset(bytes(r["word"]) for r in best.collect())
+    strong = strong.filter((share >= 0.1) & (ratio >= 20)).select("word").distinct()
+    return frozenset(bytes(r["word"]) for r in strong.collect())
 
 
 class Model:
@@ -224,40 +232,70 @@ class Model:
         return out
 
 
+def trained(described: DataFrame, known: dict[str, dict[str, float]], n: int, sample: int = SAMPLE) -> dict[str, tuple[np.ndarray, float]]:
+    """The scorer of each aspect, from all rows (at, and the pattern of each aspect) with words, in shards of about `sample`.
+
+    `known` has the probability that each pattern stands for. A task holds one shard, and a weight goes to the driver once.
+    """
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[np.ndarray] = []
+        targets: dict[str, list[float]] = {a: [] for a in ASPECTS}
+        for batch in batches:
+            rows += [np.asarray(x.values, dtype=np.int64) for x in batch.column("at")]
+            for aspect in ASPECTS:
+                targets[aspect] += [known[aspect][p] for p in strings(batch.column(aspect))]
+        if not rows:
+            return
+        seen = np.unique(np.concatenate(rows))
+        for aspect in ASPECTS:
+            weights, bias = train(rows, np.array(targets[aspect]))
+            at, own = np.append(seen, BIAS), np.append(weights[seen], bias)
+            made = [pa.array([aspect] * len(at)), pa.array(at), pa.array(own), pa.array(np.full(len(at), len(rows)))]
+            yield pa.RecordBatch.from_arrays(made, ["aspect", "at", "weight", "n"])
+
+    dealt = described.filter(F.size("at") > 0).repartition(max(1, math.ceil(n / sample)))
+    shards = dealt.mapInArrow(over, "aspect string, at long, weight double, n long")
+    summed = shards.groupBy("aspect", "at").agg(F.sum(F.col("weight") * F.col("n")).alias("weight"), F.sum("n").alias("n")).toArrow()
+    out = {}
+    for aspect in ASPECTS:
+        own = summed.filter(pc.equal(summed.column("aspect"), aspect))
+        at, total, texts = (own.column(c).to_numpy() for c in ("at", "weight", "n"))
+        if not len(at):
+            out[aspect] = train([], np.zeros(0))
+            continue
+        every = float(texts[at == BIAS][0])  # a shard without a word weighs it 0
+        weights = np.zeros(WIDTH)
+        weights[at[at != BIAS]] = total[at != BIAS] / every
+        out[aspect] = weights, float(total[at == BIAS][0]) / every
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> Model:
     """Votes of all texts, then both models."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang"))
-    learned = learn_words(texts, labels, sample)
-    n_votes = {"junk": 7, "toxic": 4}
-
-    def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
-        seen: Counter = Counter()
-        for text in strings(batch.column("text")):
-            for aspect, v in votes(Facts(text, learned)).items():
-                seen[aspect, ",".join(map(str, v))] += 1
-        rows = [(a, p, n) for (a, p), n in seen.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["aspect", "pattern", "n"])
-
-    counted = mapped(texts.select("text"), vote, "aspect string, pattern string, n long", TEXTS).groupBy("aspect", "pattern").agg(F.sum("n").alias("n"))
-    patterns: dict[str, dict] = {a: {} for a in ASPECTS}
-    for r in counted.collect():  # at most 3^7 + 3^4 rows
-        patterns[r["aspect"]][tuple(map(int, r["pattern"].split(",")))] = r["n"]
-    em = {a: fit_em(patterns[a]) for a in ASPECTS}
-    n = sum(patterns["junk"].values())
+    learned = learn_words(texts, labels)
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [Facts(t, learned) for t in strings(batch.column("text"))]
-        made = [f for f in made if f.n]
-        cols = [pa.array([features(f) for f in made], pa.list_(pa.int32()))]
-        for aspect in ASPECTS:
-            keys = np.array([votes(f)[aspect] for f in made], dtype=int).reshape(len(made), n_votes[aspect])
-            cols.append(pa.array(posterior(keys, *em[aspect])))
+        at, patterns = [], {a: [] for a in ASPECTS}
+        for text in strings(batch.column("text")):
+            f = Facts(text, learned)
+            at.append(features(f) if f.n else np.zeros(0, dtype=np.int32))
+            for aspect, v in votes(f).items():
+                patterns[aspect].append(",".join(map(str, v)))
+        cols = [pa.array(at, pa.list_(pa.int32())), *[pa.array(patterns[a], pa.string()) for a in ASPECTS]]
         return pa.RecordBatch.from_arrays(cols, ["at", *ASPECTS])
 
-    got = mapped(_sampled(texts, n, sample), describe, "at array<int>, junk double, toxic double", TEXTS).toArrow()
-    rows = [np.asarray(x.values, dtype=np.int64) for x in got.column("at")]
-    return Model(learned, em, {a: train(rows, got.column(a).to_numpy()) for a in ASPECTS})
+    described = staged(mapped(texts.select("text"), describe, "at array<int>, junk string, toxic string", TEXTS), "described")
+    known, em, n = {}, {}, 0
+    for aspect in ASPECTS:
+        counted = {r[0]: r["count"] for r in described.groupBy(aspect).count().collect()}  # at most 3^7 and 3^4 rows
+        patterns = {tuple(map(int, p.split(","))): times for p, times in counted.items()}
+        em[aspect], n = fit_em(patterns), sum(counted.values())
+        keys = np.array(list(patterns), dtype=int)
+        known[aspect] = dict(zip(counted, posterior(keys, *em[aspect]).tolist())) if counted else {}
+    return Model(learned, em, trained(described, known, n, sample))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
