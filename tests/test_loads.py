@@ -1,5 +1,6 @@
 """Loads that touch only what changed: slices, sketches, buckets, repeated feeds and batches, checks while writing."""
 
+import pathlib
 import random
 from datetime import date, timedelta
 
@@ -422,3 +423,58 @@ def test_widths_of_all_kinds_count(spark):
     wide = spark.range(10).select(F.array(*[F.lit("x" * 100)] * 10).alias("a"), F.lit(b"y" * 500).alias("b"), F.lit(None).cast("decimal(38,2)").alias("d"))
     assert lookup.small_enough({"w": wide}, max_bytes=10 * 1500) == set()
     assert lookup.small_enough({"w": wide}, max_bytes=10 * 1700) == {"w"}
+
+
+# --- disk of runs
+
+
+def shuffles_left(folder):
+    return sum(f.stat().st_size for f in folder.rglob("shuffle_*.data"))
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
+    """A write's shuffles go when it ends, not when the driver collects its garbage."""
+    local = [pathlib.Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getAbsolutePath())]
+    feed = feed_of(spark, str(tmp_path / "raw"), spark.range(3000), date(2023, 1, 1), date(2023, 12, 31), 1)
+    before = sum(map(shuffles_left, local))
+    medallion.run_full(spark, feed, str(tmp_path / "out"), date(2023, 1, 1))
+    tables.materialize(spark.range(100_000).repartition(7), "dealt")
+    assert sum(map(shuffles_left, local)) - before < 200_000
+    assert spark.conf.get(tables.CLEANUP, None) in (None, "false")
+
+
+def stages_of_write(spark, monkeypatch):
+    """Labels of what a run stages."""
+    made, real = [], tables.materialize
+
+    def noted(df, label="stage", *args, **kwargs):
+        made.append(label)
+        return real(df, label, *args, **kwargs)
+
+    for module in (medallion, merge):
+        monkeypatch.setattr(module, "materialize", noted)
+    return made
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_an_increment_stages_and_shuffles_new_rows_once(spark, rows, tmp_path, monkeypatch, few):
+    """With keys too many to broadcast or for a Bloom filter, too; the tables are as after one run."""
+    if not few:
+        for module in (medallion, merge):
+            monkeypatch.setattr(module, "small_enough", lambda frames, **kw: set(frames) - {"keys"})
+        monkeypatch.setattr(bloom, "MAX_BITS", 1 << 6)
+    feeds = [feed_of(spark, str(tmp_path / f"raw{i}"), spark.range(n), date(2023, 1, 1), date(2023, 4, 30), 5) for i, n in enumerate((200, 300))]
+    changed = tables.read_table(spark, feeds[1]).withColumn("transaction_date", F.add_months("transaction_date", 2)).withColumn("amount", F.col("amount") + 1)
+    tables.write_table(changed, str(tmp_path / "late"))
+    both, alone = str(tmp_path / "both"), str(tmp_path / "alone")
+    medallion.run_full(spark, feeds[0], both, date(2023, 1, 1))
+    made = stages_of_write(spark, monkeypatch)
+    star = medallion.run_full(spark, str(tmp_path / "late"), both, date(2023, 1, 1))
+    assert not {"fresh", "new_facts"} & set(made) and ("merged" in made) == few
+    only = medallion.run_full(spark, str(tmp_path / "late"), alone, date(2023, 1, 1))
+    kept = tables.read_table(spark, feeds[0]).join(changed, KEY, "left_anti").count()
+    for name, columns in (("silver", ["transaction_id", "transaction_date", "amount", "year", "month"]), ("fact_transactions", ["transaction_id", "amount", "year", "month", "category_key"])):
+        new = only[name].select(*columns)
+        got = star[name].select(*columns)
+        assert got.exceptAll(new).count() == kept and new.exceptAll(got).isEmpty()
+    assert star["fact_transactions"].select("transaction_key").distinct().count() == star["fact_transactions"].count()

@@ -45,13 +45,18 @@ def upsert(
     if check:
         assert_unique(source, keys, "upsert source")
     incoming = source.select(*keys)
-    if small_enough({"keys": incoming}) if small is None else small:
-        return target.join(F.broadcast(incoming), keys, "left_anti").unionByName(source)
+    small = bool(small_enough({"keys": incoming})) if small is None else small
+    return not_among(target, incoming, keys, small).unionByName(source)
+
+
+def not_among(target: DataFrame, incoming: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """The target rows that have none of the incoming keys, as `upsert` finds them."""
+    if small:
+        return target.join(F.broadcast(incoming), keys, "left_anti")
     held = may_be_among(incoming, keys, incoming.count())
     if held is None:
-        return target.join(incoming, keys, "left_anti").unionByName(source)
-    replaced = target.filter(held).join(incoming, keys, "left_anti")
-    return target.filter(~held).unionByName(replaced).unionByName(source)
+        return target.join(incoming, keys, "left_anti")
+    return target.filter(~held).unionByName(target.filter(held).join(incoming, keys, "left_anti"))
 
 
 def upsert_bucketed(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -195,12 +200,14 @@ def upsert_slices(
     those where its keys sit now (found by scanning the key column only). A
     partition that the upsert leaves empty is removed after the others are
     written; a run that dies in between leaves the moved rows in both places,
-    and the same upsert again mends it. A source that is `staged` already is
-    read as it is.
+    and the same upsert again mends it. A source that is `staged` already, by
+    the partitions, is read as it is. While its keys are too many to broadcast,
+    its rows go from there to the table as they lie, and only the rows that
+    stay are staged and shuffled.
     """
     target = read_table(spark, path)
     source = source.select(*target.columns)
-    source = source if staged else materialize(source, "upsert_source")
+    source = source if staged else materialize(source, "upsert_source", partitions)
     assert_unique(source, keys, "upsert source")
     if keys_can_move:
         touched = touched_slices(target, source, keys, partitions)
@@ -209,8 +216,13 @@ def upsert_slices(
     if not touched:
         return
     few = bool(small_enough({"keys": source.select(*keys)}))
-    merged = materialize(upsert(within_slices(target, partitions, touched), source, keys, check=False, small=few), "merged")
+    there = within_slices(target, partitions, touched)
+    if few:
+        merged = materialize(upsert(there, source, keys, check=False, small=True), "merged")
+    else:
+        kept = materialize(not_among(there, source.select(*keys), keys, False), "kept", partitions)
+        merged = kept.unionByName(source)
     filled = {tuple(row) for row in merged.select(*partitions).distinct().collect()}
-    replace_slices(merged, path, partitions)
+    replace_slices(merged, path, partitions, clustered=not few)
     for place in touched - filled:
         remove_slice(spark, path, dict(zip(partitions, place)))

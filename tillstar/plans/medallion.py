@@ -14,7 +14,7 @@ from tillstar.operators.clean import filter_valid, members, split_category
 from tillstar.operators.dedup import dedup_hash, dedup_window
 from tillstar.operators.keys import assert_unique, dense_key, max_key
 from tillstar.operators.lookup import join_category, join_date, join_merchant_composite, small_enough
-from tillstar.operators.merge import newer_than, touched_slices, upsert, upsert_slices
+from tillstar.operators.merge import newer_than, not_among, touched_slices, upsert, upsert_slices
 from tillstar.plans.dimensions import dim_card, dim_category, dim_date_covering, dim_merchant, grown_calendar
 from tillstar.plans.fact import LOOKUPS, fact_transactions, small_dimensions
 from tillstar.plans.layers import KEY, build_bronze, build_silver
@@ -142,32 +142,41 @@ def _update_fact(spark, out, as_of, calendar, history, date_keys, found) -> None
         publish_version(spark, base, version)
     else:
         fresh = newer_than(silver, fact.select(F.col("created_at").alias("processed_at")), "processed_at")
-        fresh = materialize(fresh, "fresh")
-        if fresh.isEmpty():
+        places = {tuple(row) for row in fresh.select(*MONTHS).distinct().collect()}
+        if not places:
             return
+        fresh = within_slices(fresh, MONTHS, places)  # silver stays as it is, so its new rows are read where they lie
         assert_unique(fresh, KEY, "new silver rows")
         dims = build_dimensions(fresh, out, as_of, calendar, found)
-        start = max_key(fact, "transaction_key")
-        rows = fact_transactions(fresh, dims, start=start, as_of=history, created_at="processed_at")
-        rows = materialize(rows, "new_facts")
-        merged, touched, few = update_slices(fact, rows)
-        version = write_slices(merged, base, MONTHS, clustered=few, over=watch.over)
+        start, small = max_key(fact, "transaction_key"), small_dimensions(dims)
+        rows = fact_transactions(fresh, dims, start=start, as_of=history, created_at="processed_at", small=small)
+        # As in the first run, rows without a shuffled lookup keep the monthly layout; others are staged in it.
+        rows = rows if small.issuperset(LOOKUPS) else materialize(rows, "new_facts", MONTHS)
+        merged, touched, clustered = update_slices(fact, rows, fresh.select(*KEY, *MONTHS))
+        version = write_slices(merged, base, MONTHS, clustered=clustered, over=watch.over)
         found += watch.results()
         quality.refuse(found, GATE)
         publish_slices(spark, base, version, MONTHS, touched)
     write_table(small_table(spark, found, quality.RESULT).coalesce(1), f"{out}/checks/version={version}")
 
 
-def update_slices(fact: DataFrame, rows: DataFrame) -> tuple[DataFrame, set[tuple], bool]:
-    """The months that new facts touch, with the new facts in them; and whether the kept rows came without a shuffle.
+def update_slices(fact: DataFrame, rows: DataFrame, laid: DataFrame | None = None) -> tuple[DataFrame, set[tuple], bool]:
+    """The months that new facts touch, with the new facts in them; and whether all rows are laid out by month.
 
-    While the new keys are few enough to broadcast, kept rows go from scan to
-    write as they lie.
+    `laid` has the keys and months of new facts that lie by month already, from a cheaper plan; they go to the write as they
+    lie. While the new keys are few enough to broadcast, so do kept rows; otherwise kept rows alone are shuffled again.
     """
-    touched = touched_slices(fact, rows, KEY, MONTHS)
-    few = bool(small_enough({"keys": rows.select(*KEY)}))
-    source = rows.hint("rebalance", *MONTHS) if few else rows
-    return upsert(within_slices(fact, MONTHS, touched), source, KEY, check=False, small=few), touched, few
+    known = rows if laid is None else laid
+    touched = touched_slices(fact, known, KEY, MONTHS)
+    few = bool(small_enough({"keys": known.select(*KEY)}))
+    there = within_slices(fact, MONTHS, touched)
+    if few:
+        source = rows if laid is not None else rows.hint("rebalance", *MONTHS)
+        return upsert(there, source, KEY, check=False, small=True), touched, True
+    if laid is None:
+        return upsert(there, rows, KEY, check=False, small=False), touched, False
+    kept = not_among(there, known.select(*KEY), KEY, False).hint("rebalance", *MONTHS)
+    return kept.unionByName(rows), touched, True
 
 
 def load_star(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -248,7 +257,7 @@ def merge_rows(spark: SparkSession, rows: DataFrame, out: str, load: str, found:
         if watch.rows:
             publish_table(spark, silver)
     else:
-        staged = materialize(watch.over(new), "new_silver")
+        staged = materialize(new, "new_silver", MONTHS, over=watch.over)
         results += watch.results()
         quality.refuse(results, GATE)
         upsert_slices(spark, silver, staged, KEY, MONTHS, staged=True)
