@@ -247,9 +247,11 @@ def trained(described: DataFrame, known: dict[str, dict[str, float]], n: int, sa
                 targets[aspect] += [known[aspect][p] for p in strings(batch.column(aspect))]
         if not rows:
             return
-        seen = np.unique(np.concatenate(rows))
+        # Adam carries the order of sums far, and rows arrive in any
+        order = sorted(range(len(rows)), key=lambda i: (rows[i].tobytes(), *(targets[a][i] for a in ASPECTS)))
+        rows, seen = [rows[i] for i in order], np.unique(np.concatenate(rows))
         for aspect in ASPECTS:
-            weights, bias = train(rows, np.array(targets[aspect]))
+            weights, bias = train(rows, np.array(targets[aspect])[order])
             at, own = np.append(seen, BIAS), np.append(weights[seen], bias)
             made = [pa.array([aspect] * len(at)), pa.array(at), pa.array(own), pa.array(np.full(len(at), len(rows)))]
             yield pa.RecordBatch.from_arrays(made, ["aspect", "at", "weight", "n"])
